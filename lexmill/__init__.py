@@ -1,5 +1,9 @@
 """Text indexing and search as Spark DataFrame plans."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from lexmill.operators.bm25 import bm25
 from lexmill.operators.boolean import boolean_search
 from lexmill.operators.hydrate import hydrate
@@ -22,6 +26,9 @@ from lexmill.sources.lines import read_corpus_stats, read_stop_words
 from lexmill.sources.news import parse_news
 from lexmill.sources.posting_lines import from_posting_lines, read_posting_lines
 
+# Tasks that unpack archives carry their code along, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "Index",
     "biword_postings",

@@ -15,6 +15,9 @@ from lexmill.functions.text import split_query
 from lexmill.schemas import QUERIES
 from lexmill.session import local_copy, small_rows
 
+# A filter on more values than this costs more to plan than it saves.
+PUSHED_VALUES = 500
+
 Queries = str | list[str] | DataFrame
 
 
@@ -69,5 +72,7 @@ class TermSide:
         if self.rows is None:
             return table.join(self.terms, keys)
         for column in keys:
-            table = table.where(F.col(column).isin(sorted({row[column] for row in self.rows})))
+            values = sorted({row[column] for row in self.rows})
+            if len(values) <= PUSHED_VALUES:
+                table = table.where(F.col(column).isin(values))
         return table.join(F.broadcast(self.terms), keys)

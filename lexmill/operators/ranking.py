@@ -13,15 +13,15 @@ GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
 
-def top_hits(scored: DataFrame, k: int | None, ties: Column | None = None) -> DataFrame:
+def top_hits(scored: DataFrame, k: int, ties: Column | None = None) -> DataFrame:
     """(query_id, doc_id, doc_name, score, rank) of the k best hits per query.
 
     Ties go by document id. ``rank <= k`` lets every task drop all but its own k
     best rows per query before the shuffle, so a query that hits a third of the
-    corpus is no hot group. With k None all hits are kept, without ranks.
+    corpus is no hot group. With k=0 all hits are kept, without ranks.
     """
     named = scored.select("query_id", "doc_id", doc_name(F.col("doc_id")).alias("doc_name"), "score")
-    if k is None:
+    if k == 0:
         return named.withColumn("rank", F.lit(None).cast("int"))
     order = [F.desc("score"), F.col("doc_id") if ties is None else ties]
     if k > int(named.sparkSession.conf.get(GROUP_LIMIT_CONF)):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.session import local_copy, small_rows
@@ -44,20 +44,20 @@ def _by_scan(dictionary: DataFrame, query_terms: DataFrame, parts: list[str]) ->
     )
 
 
+def _grams(n: int) -> Column:
+    """All substrings of length n of a term."""
+    starts = F.sequence(F.lit(1), F.length("term") - n + 1)
+    return F.when(
+        F.length("term") >= n, F.transform(starts, lambda i: F.substring(F.col("term"), i, F.lit(n)))
+    ).otherwise(F.expr("array()"))
+
+
 def _by_gram(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
     """Join on the first gram of the query term, salted as short grams are hot."""
     shortest = query_terms.agg(F.min(F.length("term"))).first()[0]
     lengths = range(min(GRAM, shortest), GRAM + 1)
-    starts = [
-        F.when(
-            F.length("term") >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.length("term") - n + 1), lambda i, n=n: F.substring(F.col("term"), i, n)
-            ),
-        ).otherwise(F.expr("array()"))
-        for n in lengths
-    ]
-    grams = dictionary.select("term", "df", F.array_distinct(F.concat(*starts)).alias("grams")).select(
+    grams_of = F.array_distinct(F.concat(*[_grams(n) for n in lengths]))
+    grams = dictionary.select("term", "df", grams_of.alias("grams")).select(
         "term", "df", F.explode_outer("grams").alias("gram"), F.pmod(F.xxhash64("term"), F.lit(SALTS)).alias("salt")
     )
     parts = query_terms.select(

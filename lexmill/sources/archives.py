@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmill.schemas import ARCHIVE_ENTRIES
 
 # Fixed values of the ZIP format.
-LOCAL_HEADER = struct.Struct("<4s5H3I2H")
+LOCAL_HEADER = "<4s5H3I2H"
+LOCAL_HEADER_SIZE = 30
 LOCAL_SIGNATURE = b"PK\x03\x04"
 DESCRIPTOR_SIGNATURE = b"PK\x07\x08"
 STORED, DEFLATED = 0, 8
@@ -52,12 +53,12 @@ def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, b
     strict reading raises there.
     """
     view, at = memoryview(data), 0
-    while at + LOCAL_HEADER.size <= len(data):
-        header = LOCAL_HEADER.unpack_from(data, at)
+    while at + LOCAL_HEADER_SIZE <= len(data):
+        header = struct.unpack_from(LOCAL_HEADER, data, at)
         signature, _, flags, method, _, _, crc, packed_size, size, name_len, extra_len = header
         if signature != LOCAL_SIGNATURE:
             return
-        body = at + LOCAL_HEADER.size + name_len + extra_len
+        body = at + LOCAL_HEADER_SIZE + name_len + extra_len
         try:
             if body > len(data):
                 raise DamagedArchive("archive ends inside a header")
@@ -84,7 +85,7 @@ def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, b
             if lenient:
                 return
             raise
-        name = data[at + LOCAL_HEADER.size:at + LOCAL_HEADER.size + name_len]
+        name = data[at + LOCAL_HEADER_SIZE:at + LOCAL_HEADER_SIZE + name_len]
         yield name.decode("utf-8" if flags & FLAG_UTF8 else "cp437", "replace"), content
         at = after
 
