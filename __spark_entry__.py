@@ -483,7 +483,7 @@ def _tfidf(query: str = _RANKED_QUERIES, k: int = 20, variant: str = "standard",
             FROM w GROUP BY query_id, doc_id)"""
     else:
         scores = f"""
-      x AS (SELECT query_id, doc_id, list_sum(list({weight} / norm_reference ORDER BY term || ':' || df)) AS score
+      x AS (SELECT query_id, doc_id, round(sum({weight}) / any_value(norm_reference), 12) AS score
             FROM w GROUP BY query_id, doc_id),
       s AS (SELECT query_id, score, max(doc_id) AS doc_id FROM x GROUP BY query_id, score)"""
     return f"""

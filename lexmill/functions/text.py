@@ -11,12 +11,22 @@ from pyspark.sql import functions as F
 
 # Results depend on them exactly.
 TOKEN_DELIMITERS = r'[ \t\n!,"]+'
-WORD_PATTERN = r"^.*\w.*\z"
-TRAILING_MARKS = r"[\x00-\x20]*(?:,[\x00-\x20]*)?(?::[\x00-\x20]*)?(?:\.[\x00-\x20]*)?\z"
-REMOVED_CHARS = "[](){}'"
+WORD_CHAR = r"\w"
+LINE_TERMINATOR = r"[\n\r\u0085\u2028\u2029]"
+REMOVED = r"\[\](){}'"
+BLANK = r"\x00-\x20"
 ID_TOKEN_PREFIX = "itemid_"
 TRIMMED_CHARS = "".join(chr(c) for c in range(0x21))
 
+# What normalizing removes: removed characters anywhere, blanks next to either
+# end, and one ',' then ':' then '.' at the end. A run of blanks is tried once,
+# from its start, so that long runs stay linear.
+NOT_TERM = (
+    rf"^[{REMOVED}{BLANK}]++"
+    rf"|(?<![{REMOVED}{BLANK}])[{REMOVED}{BLANK}]*+(?:,[{BLANK}]*+)?(?::[{BLANK}]*+)?(?:\.[{BLANK}]*+)?\z"
+    rf"|[{REMOVED}]"
+)
+
 
 def trim_control(value: Column) -> Column:
     """Trim blanks and every other character up to U+0020."""
@@ -57,13 +67,20 @@ def split_on_blanks(body: Column) -> Column:
 
 def is_word(token: Column) -> Column:
     """True where a token has an ASCII word character and no line terminator."""
-    return token.rlike(WORD_PATTERN)
+    return token.rlike(WORD_CHAR) & ~token.rlike(LINE_TERMINATOR)
 
 
 def normalize_term(raw: Column) -> Column:
-    """Strip one trailing '.', then ':', then ','; drop brackets and quotes."""
-    stripped = F.regexp_replace(trim_control(raw), TRAILING_MARKS, "")
-    return F.lower(trim_control(F.translate(stripped, REMOVED_CHARS, "")))
+    """Term of a lower-case token, without brackets, quotes and end marks."""
+    return F.regexp_replace(raw, NOT_TERM, "")
+
+
+def is_one_of(raw: Column, words: list[str]) -> Column:
+    """True where a token, blanks around it trimmed, is one of ``words``.
+
+    Tokens rarely hold a blank, so the costly trim is kept behind a cheap test.
+    """
+    return raw.isin(words) | (raw.rlike(f"[{BLANK}]") & trim_control(raw).isin(words))
 
 
 def split_query(query: Column) -> Column:

@@ -28,12 +28,14 @@ def bm25(
     b: float = 0.75,
     match: str = "exact",
     variant: str = STANDARD,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, doc_id, doc_name, score, rank), best first.
 
     A query term that occurs twice counts twice. ``match="substring"`` lets a
     query term match every index term that contains it. k None means the
-    variant's own limit, k=0 all hits without ranks.
+    variant's own limit, k=0 all hits without ranks. ``stats(n_docs, avg_len)``
+    replaces the statistics of the index.
     """
     check_variant(variant)
     counted = (
@@ -45,13 +47,13 @@ def bm25(
         side = TermSide(substring_terms(index.terms, counted), index.shards)
     else:
         raise ValueError(f"match must be 'exact' or 'substring', not {match!r}")
-    stats = index.stats
-    avg_len = stats.avg_len_exact if variant == STANDARD else stats.avg_len
+    corpus = (index.stats if stats is None else stats.first()).asDict()
+    avg_len = corpus["avg_len"] if variant == REFERENCE else corpus.get("avg_len_exact", corpus["avg_len"])
     weight = bm25_weight(
         F.col("tf"),
         F.col("df"),
         F.col("doc_len"),
-        F.lit(stats.n_docs),
+        F.lit(corpus["n_docs"]),
         F.lit(float(avg_len or 1)),
         k1,
         b,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lexmill.schemas import HIT_COLUMNS
 from lexmill.sources.news import doc_name
 
-# Spark limits window groups ahead of the shuffle up to this rank.
+# Up to the rank in this setting Spark cuts window groups ahead of the shuffle.
+# Beyond it the groups are cut in salted parts first.
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
@@ -20,16 +21,18 @@ def top_hits(scored: DataFrame, k: int, ties: Column | None = None) -> DataFrame
     best rows per query before the shuffle, so a query that hits a third of the
     corpus is no hot group. With k=0 all hits are kept, without ranks.
     """
-    named = scored.select("query_id", "doc_id", doc_name(F.col("doc_id")).alias("doc_name"), "score")
-    if k == 0:
-        return named.withColumn("rank", F.lit(None).cast("int"))
     order = [F.desc("score"), F.col("doc_id") if ties is None else ties]
-    if k > int(named.sparkSession.conf.get(GROUP_LIMIT_CONF)):
-        salted = Window.partitionBy("query_id", "salt").orderBy(*order)
-        named = (
-            named.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-            .withColumn("salted_rank", F.row_number().over(salted))
-            .where(F.col("salted_rank") <= k)
-        )
-    best = Window.partitionBy("query_id").orderBy(*order)
-    return named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(HIT_COLUMNS)
+    if k == 0:
+        ranked = scored.withColumn("rank", F.lit(None).cast("int"))
+    else:
+        if k > int(scored.sparkSession.conf.get(GROUP_LIMIT_CONF)):
+            salted = Window.partitionBy("query_id", "salt").orderBy(*order)
+            scored = (
+                scored.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+                .withColumn("salted_rank", F.row_number().over(salted))
+                .where(F.col("salted_rank") <= k)
+                .drop("salt", "salted_rank")
+            )
+        best = Window.partitionBy("query_id").orderBy(*order)
+        ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.withColumn("doc_name", doc_name(F.col("doc_id"))).select(HIT_COLUMNS)

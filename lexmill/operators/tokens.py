@@ -83,7 +83,7 @@ def kept_words(
     return placed.select(
         "doc_id",
         "doc_len",
-        F.filter("kept", lambda k: ~txt.trim_control(k.raw).isin(inline)).alias("kept"),
+        F.filter("kept", lambda k: ~txt.is_one_of(k.raw, inline)).alias("kept"),
     )
 
 

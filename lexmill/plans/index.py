@@ -17,11 +17,13 @@ from lexmill.operators.queries import shard_of
 from lexmill.operators.stats import corpus_stats, document_norms
 from lexmill.operators.tokens import StopWords, kept_words, term_arrays
 from lexmill.session import stage
+from lexmill.sources.lines import read_corpus_stats
+from lexmill.sources.posting_lines import read_posting_lines
 
 ARRAYS = {"positional": ops.with_entries, "uniword": ops.with_uniwords, "biword": ops.with_biwords}
 ARRAY_COLUMNS = {"positional": "entries", "uniword": "uniwords", "biword": "biwords"}
 SHARDS = 64
-ROWS_PER_FILE = 20_000_000
+ROWS_PER_FILE = 100_000_000
 
 
 @dataclass
@@ -114,6 +116,31 @@ class Index:
             **{name: table(name) for name in ("doc_stats", "corpus_stats", "terms", "biwords", "postings", "uniwords")},
         )
 
+    @classmethod
+    def from_lines(cls, spark: SparkSession, path: str, stats_path: str | None = None) -> Index:
+        """Open a positional or uniword index kept as posting lines.
+
+        ``stats_path`` is a file of corpus statistics. Without one the documents
+        are counted from the postings, and BM25 lacks an average length.
+        """
+        rows = stage(read_posting_lines(spark, path), "lines")
+        terms = rows.groupBy("term").agg(F.max("df").alias("df"))
+        lengths = rows.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"))
+        if stats_path is None:
+            stats = lengths.agg(F.count("*").alias("n_docs"), F.lit(0).cast("long").alias("avg_len"))
+        else:
+            stats = read_corpus_stats(spark, stats_path)
+        stats = stats.select(
+            "n_docs",
+            (F.col("n_docs") * F.col("avg_len")).alias("total_len"),
+            "avg_len",
+            F.col("avg_len").cast("double").alias("avg_len_exact"),
+        )
+        positional = not rows.where(F.col("tf").isNotNull()).isEmpty()
+        lists = rows.drop("df") if positional else rows.select("term", "doc_id")
+        doc_stats = _with_norms(lengths, lists) if positional else lengths
+        return cls(spark, None, doc_stats, stats, terms, **{"postings" if positional else "uniwords": lists})
+
 
 def build_index(
     docs: DataFrame,
@@ -124,6 +151,7 @@ def build_index(
     shards: int = SHARDS,
     rows_per_file: int = ROWS_PER_FILE,
     partitions: int | None = None,
+    unique_ids: bool | None = None,
     n_bad_records: int = 0,
 ) -> Index:
     """Index ``docs(doc_id, [title], text)`` under ``path``.
@@ -132,14 +160,16 @@ def build_index(
     document. All tables come from there. Term tables are laid out by ranges of
     (shard, term, doc_id): files are of like size whatever the skew, sorted by
     term, and in one folder per shard. ``partitions`` spreads a corpus of few
-    large files over more tasks first.
+    large files over more tasks first. Documents that share an id are united;
+    ``unique_ids`` tells that there are none, or some, and saves the look.
     """
     spark = docs.sparkSession
     kinds = sorted(set(kinds))
     unknown = [kind for kind in kinds if kind not in ARRAYS]
     if unknown or not kinds:
         raise ValueError(f"kinds must be some of {sorted(ARRAYS)}, not {unknown}")
-    unique_ids = docs.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
+    if unique_ids is None:
+        unique_ids = docs.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
 
     if partitions:
         docs = docs.repartition(partitions)
@@ -188,14 +218,18 @@ def _document_stats(staged: DataFrame, merged: DataFrame | None, with_norms: boo
     ``merged`` holds the postings of documents whose ids are not unique.
     """
     if merged is not None:
-        lengths = staged.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"))
-        for variant, name in ((STANDARD, "norm"), (REFERENCE, "norm_reference")):
-            norms = document_norms(merged, variant).withColumnRenamed("norm", name)
-            lengths = lengths.join(norms, "doc_id", "left")
-        return lengths
+        return _with_norms(staged.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len")), merged)
     if with_norms:
         return staged.select("doc_id", "doc_len", *ops.norm_columns())
     none = F.lit(None).cast("double")
     return staged.groupBy("doc_id").agg(
         F.max("doc_len").alias("doc_len"), F.first(none).alias("norm"), F.first(none).alias("norm_reference")
     )
+
+
+def _with_norms(lengths: DataFrame, postings: DataFrame) -> DataFrame:
+    """Add the norms of ``postings``; documents without postings have norm 0."""
+    for variant, name in ((STANDARD, "norm"), (REFERENCE, "norm_reference")):
+        norms = document_norms(postings, variant).withColumnRenamed("norm", name)
+        lengths = lengths.join(norms, "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+    return lengths

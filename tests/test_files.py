@@ -255,3 +255,25 @@ def test_write_hits_and_documents(spark, news, news_index, tmp_path):
     text = (tmp_path / "out" / "text" / "file_name=10newsML.txt").glob("part-*")
     assert next(text).read_text() == "Gold flat\n\nGold and oil - steady\n"
     assert written("out/manifest")[0].endswith("newsML.txt;Gold flat")
+
+
+def test_search_over_a_text_index(spark, news_index, tmp_path):
+    lines, stats = str(tmp_path / "lines"), str(tmp_path / "stats")
+    lx.write_lines(lx.positional_lines(news_index.postings, news_index.terms, "reference"), lines, files=2)
+    lx.write_corpus_stats(news_index.corpus_stats, stats)
+    index = lx.Index.from_lines(spark, lines, stats)
+    for search in (lx.bm25, lx.tfidf):
+        expected = [tuple(r) for r in search(news_index, "oil gold", variant="reference").collect()]
+        assert [tuple(r) for r in search(index, "oil gold", variant="reference").collect()] == expected
+    assert {r.doc_id for r in lx.boolean_search(index, "oil ANDNOT gold").collect()} == {2}
+    uniwords = str(tmp_path / "uniwords")
+    lx.write_lines(lx.key_lines(news_index.uniwords, news_index.terms), uniwords, files=2)
+    index = lx.Index.from_lines(spark, uniwords)
+    assert {r.doc_id for r in lx.boolean_search(index, "oil OR gold").collect()} == {2, 10}
+    assert index.stats.n_docs == 2
+
+
+def test_given_stats_replace_those_of_the_index(spark, news_index):
+    stats = spark.createDataFrame([(200, 7)], "n_docs long, avg_len long")
+    assert lx.bm25(news_index, "oil", stats=stats).count() == 2
+    assert lx.bm25(news_index, "oil", variant="reference", stats=stats).count() == 2

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lexmill as lx
+from lexmill.functions.text import normalize_term
 from lexmill.operators import queries as query_ops
 from lexmill.operators import ranking, substring, tokens
 
@@ -144,3 +145,23 @@ def test_top_hits_beyond_the_group_limit(spark, monkeypatch):
         hits = sorted((h for h in top if h.query_id == query), key=lambda h: h.rank)
         assert [h.doc_id for h in hits] == [r[1] for r in best]
         assert [h.rank for h in hits] == list(range(1, 1501))
+
+
+def test_normalization_equals_the_single_steps(spark):
+    blanks = "".join(map(chr, range(0x21)))
+    rng = random.Random(3)
+    raws = {"".join(rng.choices("ab.:,[(')\x0b\t", k=rng.randint(1, 9))) for _ in range(20000)}
+    raws = sorted(raw for raw in raws if set(raw) & set("ab"))
+
+    def expected(raw):
+        term = raw.strip(blanks)
+        for mark in ".:,":
+            if term.endswith(mark):
+                term = term[:-1].strip(blanks)
+        return "".join(c for c in term if c not in "[](){}'").strip(blanks)
+
+    frame = spark.createDataFrame([(raw,) for raw in raws], "raw string")
+    rows = frame.select("raw", normalize_term(F.col("raw")).alias("term")).collect()
+    assert [(r.raw, r.term) for r in rows if r.term != expected(r.raw)] == []
+    long_run = spark.range(1).select(normalize_term(F.concat(F.lit("a"), F.repeat(F.lit("\x0b"), 200000), F.lit("b"))))
+    assert len(long_run.first()[0]) == 200002
