@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import split_query
 from lexmill.schemas import QUERIES
-from lexmill.session import local_copy, small_rows
+from lexmill.session import local_copy, salted, small_rows
 
 # A filter on more values than this costs more to plan than it saves.
 PUSHED_VALUES = 500
@@ -70,7 +70,11 @@ class TermSide:
             table = table.withColumnRenamed(key, "term")
         keys = ["shard", "term"] if self.shards else ["term"]
         if self.rows is None:
-            return table.join(self.terms, keys)
+            # Tables without shards may be bucketed by term, which a salt would undo.
+            if not self.shards or "doc_id" not in table.columns:
+                return table.join(self.terms, keys)
+            postings, terms = salted(table, self.terms, "doc_id")
+            return postings.join(terms, [*keys, "salt"]).drop("salt")
         for column in keys:
             values = sorted({row[column] for row in self.rows})
             if len(values) <= PUSHED_VALUES:

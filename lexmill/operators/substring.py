@@ -7,12 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import local_copy, small_rows
+from lexmill.session import local_copy, salted, small_rows
 
 # Up to this many query rows are tested in one scan of the dictionary.
 INLINE_TERMS = 64
 GRAM = 3
-SALTS = 16
 
 
 def substring_terms(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
@@ -58,13 +57,8 @@ def _by_gram(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
     lengths = range(min(GRAM, shortest), GRAM + 1)
     grams_of = F.array_distinct(F.concat(*[_grams(n) for n in lengths]))
     grams = dictionary.select("term", "df", grams_of.alias("grams")).select(
-        "term", "df", F.explode_outer("grams").alias("gram"), F.pmod(F.xxhash64("term"), F.lit(SALTS)).alias("salt")
-    )
-    parts = query_terms.select(
-        "query_id",
-        "n",
-        F.col("term").alias("part"),
-        F.substring("term", 1, GRAM).alias("gram"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
+        "term", "df", F.explode_outer("grams").alias("gram")
     )
+    parts = query_terms.select("query_id", "n", F.col("term").alias("part"), F.substring("term", 1, GRAM).alias("gram"))
+    grams, parts = salted(grams, parts, "term")
     return grams.join(parts, ["gram", "salt"]).where(F.col("term").contains(F.col("part")))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as txt
-from lexmill.session import small_rows
+from lexmill.session import salted, small_rows
 
 # A stop list up to this size becomes a hash-set test; a longer one is joined.
 INLINE_STOP_WORDS = 10_000
@@ -89,17 +89,19 @@ def kept_words(
 
 def _without_joined_stop_words(words: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Stop filter by an equi-join on the token, for lists of any size."""
-    stops = stop_words.select(F.col("word").alias("stop_word")).distinct()
+    placed = words.select(F.monotonically_increasing_id().alias("doc_key"), "*").select(
+        "doc_key", "doc_id", "doc_len", F.posexplode_outer("words").alias("i", "raw")
+    )
+    placed = placed.withColumn("word", txt.trim_control(F.col("raw")))
+    placed, stops = salted(placed, stop_words.select("word", F.lit(True).alias("stop")).distinct(), "doc_key")
     return (
-        words.select(F.monotonically_increasing_id().alias("doc_key"), "*")
-        .select("doc_key", "doc_id", "doc_len", F.posexplode_outer("words").alias("i", "raw"))
-        .join(stops, txt.trim_control(F.col("raw")) == F.col("stop_word"), "left")
+        placed.join(stops, ["word", "salt"], "left")
         .groupBy("doc_key", "doc_id", "doc_len")
         .agg(
             F.sort_array(
                 F.collect_list(
                     F.when(
-                        F.col("stop_word").isNull() & F.col("raw").isNotNull(),
+                        F.col("stop").isNull() & F.col("raw").isNotNull(),
                         F.struct((F.col("i") + 1).alias("pos"), "raw"),
                     )
                 )

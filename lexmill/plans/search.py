@@ -12,8 +12,8 @@ from lexmill.operators.tfidf import tfidf
 from lexmill.operators.tokens import StopWords
 from lexmill.plans.index import Index, build_index
 from lexmill.session import stage
-from lexmill.sources.archives import read_zips
-from lexmill.sources.news import doc_name, parse_entries
+from lexmill.sources.archives import list_zips, read_zips
+from lexmill.sources.news import doc_name, parse_archives, parse_entries
 
 # Mode numbers of the search form; anything else means BM25.
 BOOLEAN_MODES = (1, "1", "boolean")
@@ -48,13 +48,17 @@ def index_archives(
     Archives are unpacked and parsed once, into a staged table. Entries that are
     no news count as documents of length 0, as corpus statistics expect.
     """
-    parsed = stage(parse_entries(read_zips(spark, archives, lenient, partitions)), "news")
+    if partitions:
+        parsed = parse_entries(read_zips(spark, archives, lenient, partitions))
+    else:
+        parsed = parse_archives(list_zips(spark, archives), lenient)
+    parsed = stage(parsed, "news")
     good = F.col("error").isNull()
     documents = parsed.where(good).select(
         "doc_id", doc_name(F.col("doc_id")).alias("doc_name"), "title", "headline", "text"
     )
     bad_records = parsed.where(~good).select("zip_path", "entry_name", "error")
     index = build_index(
-        documents, path, stop_words, n_bad_records=bad_records.count(), partitions=partitions, **options
+        documents, path, stop_words, n_bad_records=bad_records.count(), **options
     )
     return index, documents, bad_records

@@ -6,10 +6,14 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 # A side of a join is broadcast only after it was counted and has at most this many rows.
 SMALL_SIDE_ROWS = 20_000
 
+# Parts a hot join key is split into where neither side is small.
+SALTS = 16
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -54,3 +58,17 @@ def small_rows(df: DataFrame, limit: int = SMALL_SIDE_ROWS) -> list[Row] | None:
 def local_copy(df: DataFrame, rows: list[Row]) -> DataFrame:
     """Rows already counted on the driver, as a DataFrame to broadcast."""
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def salted(large: DataFrame, other: DataFrame, spread_by: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a ``salt`` column to join on as well.
+
+    Rows of the large side are spread by one of its columns; each row of the
+    other side is repeated for every salt. A key that holds a large share of
+    all rows then goes to several tasks.
+    """
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    return (
+        large.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS))),
+        other.withColumn("salt", F.explode(salts)),
+    )

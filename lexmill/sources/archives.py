@@ -90,6 +90,14 @@ def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, b
         at = after
 
 
+def named_entries(path: str, data: bytes, lenient: bool) -> Iterator[tuple[str, bytes]]:
+    """Entries of one archive; damage is reported with the archive's path."""
+    try:
+        yield from archive_entries(bytes(data), lenient)
+    except DamagedArchive as exc:
+        raise DamagedArchive(f"{path}: {exc}") from exc
+
+
 def unzip(archives: DataFrame, lenient: bool = False) -> DataFrame:
     """Entries of the archives in ``archives(path, content)``."""
 
@@ -97,21 +105,28 @@ def unzip(archives: DataFrame, lenient: bool = False) -> DataFrame:
         rows, held = [], 0
         for batch in batches:
             for path, data in zip(batch["path"], batch["content"]):
-                try:
-                    for name, content in archive_entries(bytes(data), lenient):
-                        rows.append((path, name, content))
-                        held += len(content)
-                        if held >= BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=ARCHIVE_ENTRIES.names)
-                            rows, held = [], 0
-                except DamagedArchive as exc:
-                    raise DamagedArchive(f"{path}: {exc}") from exc
+                for name, content in named_entries(path, data, lenient):
+                    rows.append((path, name, content))
+                    held += len(content)
+                    if held >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=ARCHIVE_ENTRIES.names)
+                        rows, held = [], 0
         if rows:
             yield pd.DataFrame(rows, columns=ARCHIVE_ENTRIES.names)
 
     return archives.select("path", "content").mapInPandas(unpack, ARCHIVE_ENTRIES)
 
 
+def list_zips(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content, ...) of every ZIP under ``path``."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.zip")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+    )
+
+
 def read_zips(
     spark: SparkSession, path: str, lenient: bool = False, partitions: int | None = None
 ) -> DataFrame:
@@ -120,11 +135,5 @@ def read_zips(
     Parallelism is the number of archives; ``partitions`` spreads the entries of
     a few large archives over more tasks.
     """
-    archives = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    entries = unzip(archives, lenient)
+    entries = unzip(list_zips(spark, path), lenient)
     return entries.repartition(partitions) if partitions else entries

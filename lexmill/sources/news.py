@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 from xml.parsers import expat
 
 import pandas as pd
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import TRIMMED_CHARS
 from lexmill.schemas import PARSED_NEWS
+from lexmill.sources.archives import named_entries
 
 # Fixed values of the news format.
 ITEM_TAG = "newsitem"
@@ -25,6 +27,8 @@ FIELD_TAGS = ("title", "headline", "text")
 ENTRY_SUFFIX = "newsML.xml"
 INT_RANGE = range(-(2**31), 2**31)
 
+ENTRIES_PER_BATCH = 2_000
+
 
 def doc_name(doc_id: Column) -> Column:
     return F.concat(doc_id.cast("string"), F.lit(ENTRY_SUFFIX))
@@ -109,6 +113,25 @@ def parse_entries(entries: DataFrame) -> DataFrame:
     return entries.select("zip_path", "entry_name", "content").mapInPandas(parse, PARSED_NEWS)
 
 
+def parse_archives(archives: DataFrame, lenient: bool = False) -> DataFrame:
+    """Parsed entries of ``archives(path, content)``.
+
+    Unpacks and parses in one step, so that the unpacked XML never leaves the
+    Python worker.
+    """
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, data in zip(batch["path"], batch["content"]):
+                entries = named_entries(path, data, lenient)
+                while rows := [(path, name, *parse_item(xml)) for name, xml in islice(entries, ENTRIES_PER_BATCH)]:
+                    parsed = pd.DataFrame(rows, columns=PARSED_NEWS.names)
+                    parsed["doc_id"] = parsed["doc_id"].astype("Int64")
+                    yield parsed
+
+    return archives.select("path", "content").mapInPandas(parse, PARSED_NEWS)
+
+
 def parse_news(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, bad_records) of archive entries.
 

@@ -148,12 +148,13 @@ def test_parse_news(spark, tmp_path):
     assert {r.entry_name for r in bad.collect()} == {"b", "dir/"}
 
 
-def test_index_archives(spark, tmp_path):
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_index_archives(spark, tmp_path, partitions):
     entries = [("2newsML.xml", item(2, "Oil prices", "Oil up", "Oil rises. The oil, market")), ("b", b"<bad")]
     (tmp_path / "n.zip").write_bytes(zipped(entries))
     stops = spark.createDataFrame([("the",)], "word string")
     index, documents, bad = lx.index_archives(
-        spark, str(tmp_path), str(tmp_path / "ix"), stops, include_id_token=True, shards=2
+        spark, str(tmp_path), str(tmp_path / "ix"), stops, partitions=partitions, include_id_token=True, shards=2
     )
     assert (documents.count(), bad.count()) == (1, 1)
     assert (index.stats.n_docs, index.stats.total_len, index.stats.avg_len) == (2, 8, 4)
