@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import split_query
 from lexmill.schemas import QUERIES
-from lexmill.session import local_copy, salted, small_rows
+from lexmill.session import local_copy, salted, small_rows, stage
 
 # A filter on more values than this costs more to plan than it saves.
 PUSHED_VALUES = 500
 
+# Largest measured side that is broadcast, and what a row takes beside its term.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES = 128
+
 Queries = str | list[str] | DataFrame
 
 
@@ -43,10 +47,11 @@ def shard_of(term: Column, shards: int) -> Column:
 
 
 class TermSide:
-    """Query terms prepared as the small side of a join with an index table.
+    """Query terms prepared as one side of a join with an index table.
 
-    ``rows`` is the counted content, or None where there are too many rows to
-    hold; only a counted side is broadcast and pushed down as a filter.
+    Few terms are held as ``rows``, broadcast, and pushed down as filters. More
+    are staged and measured, and broadcast up to ``BROADCAST_BYTES``. Beyond
+    that both sides are shuffled.
     """
 
     def __init__(self, terms: DataFrame, shards: int | None) -> None:
@@ -56,7 +61,11 @@ class TermSide:
             self.terms = terms.withColumn("shard", shard_of(F.col("term"), shards))
         self.rows = small_rows(self.terms)
         if self.rows is not None:
-            self.terms = local_copy(self.terms, self.rows)
+            self.terms, self.fits = local_copy(self.terms, self.rows), True
+        else:
+            self.terms = stage(self.terms, "query-terms")
+            size = self.terms.agg(F.sum(F.octet_length("term") + ROW_BYTES)).first()[0]
+            self.fits = size <= BROADCAST_BYTES
 
     def narrowed(self, terms: DataFrame) -> TermSide:
         """The same side after a join that adds no rows to it."""
@@ -69,14 +78,14 @@ class TermSide:
         if key != "term":
             table = table.withColumnRenamed(key, "term")
         keys = ["shard", "term"] if self.shards else ["term"]
-        if self.rows is None:
-            # Tables without shards may be bucketed by term, which a salt would undo.
-            if not self.shards or "doc_id" not in table.columns:
-                return table.join(self.terms, keys)
-            postings, terms = salted(table, self.terms, "doc_id")
-            return postings.join(terms, [*keys, "salt"]).drop("salt")
-        for column in keys:
+        for column in keys if self.rows is not None else ():
             values = sorted({row[column] for row in self.rows})
             if len(values) <= PUSHED_VALUES:
                 table = table.where(F.col(column).isin(values))
-        return table.join(F.broadcast(self.terms), keys)
+        if self.fits:
+            return table.join(F.broadcast(self.terms), keys)
+        # Tables without shards may be bucketed by term, which a salt would undo.
+        if not self.shards or "doc_id" not in table.columns:
+            return table.join(self.terms, keys)
+        postings, terms = salted(table, self.terms, "doc_id")
+        return postings.join(terms, [*keys, "salt"]).drop("salt")

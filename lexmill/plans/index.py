@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -176,12 +176,14 @@ def build_index(
     arrays = term_arrays(kept_words(docs, stop_words, include_id_token))
     for kind in kinds:
         arrays = ARRAYS[kind](arrays)
-    staged = stage(arrays.drop("terms"), "documents")
+    sizes = Observation()
+    arrays = arrays.drop("terms").observe(sizes, *[F.sum(F.size(ARRAY_COLUMNS[k])).alias(k) for k in kinds])
+    staged = stage(arrays, "documents")
     corpus_stats(staged, n_bad_records).write.parquet(f"{path}/corpus_stats")
-    sizes = staged.agg(*[F.coalesce(F.sum(F.size(ARRAY_COLUMNS[k])), F.lit(0)).alias(k) for k in kinds]).first()
 
-    def write(rows: DataFrame, name: str, key: str, n_rows: int, schema: StructType) -> DataFrame:
-        order = ["shard", key, *(["doc_id"] if "doc_id" in rows.columns else [])]
+    def write(rows: DataFrame, name: str, key: str, kind: str, schema: StructType) -> DataFrame:
+        order = ["shard", key, "doc_id"]
+        n_rows = sizes.get[kind] or 0
         files = max(-(-n_rows // rows_per_file), min(shards, spark.sparkContext.defaultParallelism))
         (
             rows.withColumn("shard", shard_of(F.col(key), shards))
@@ -197,16 +199,18 @@ def build_index(
         rows = ops.explode_entries(staged)
         if not unique_ids:
             rows = merged = stage(ops.merge_postings(rows), "postings")
-        lists = write(rows, "postings", "term", sizes.positional, schemas.POSTINGS)
+        lists = write(rows, "postings", "term", "positional", schemas.POSTINGS)
     if "uniword" in kinds:
         rows = ops.explode_keys(staged, "uniwords", "term", unique_ids)
-        lists = write(rows, "uniwords", "term", sizes.uniword, schemas.UNIWORDS)
+        lists = write(rows, "uniwords", "term", "uniword", schemas.UNIWORDS)
     if "biword" in kinds:
         rows = ops.explode_keys(staged, "biwords", "biword", unique_ids)
-        write(rows, "biwords", "biword", sizes.biword, schemas.BIWORDS)
+        write(rows, "biwords", "biword", "biword", schemas.BIWORDS)
     if lists is not None:
-        terms = stage(ops.document_frequency(lists), "terms")
-        write(terms, "terms", "term", terms.count(), schemas.TERMS)
+        # One row per term, so shards of the dictionary are of like size.
+        terms = ops.document_frequency(lists).withColumn("shard", shard_of(F.col("term"), shards))
+        terms = terms.repartition("shard").sortWithinPartitions("shard", "term")
+        terms.write.partitionBy("shard").parquet(f"{path}/terms")
     _document_stats(staged, merged, "positional" in kinds).write.parquet(f"{path}/doc_stats")
     spark.createDataFrame([(shards, kinds)], "shards int, kinds array<string>").write.parquet(f"{path}/meta")
     return Index.load(spark, path)

@@ -61,7 +61,8 @@ def test_postings_properties(corpus):
     assert df == {w: sum(w in t.split() for t in docs.values()) for w in df}
 
 
-def test_large_batches_take_the_joined_path(corpus, monkeypatch):
+@pytest.mark.parametrize("broadcast_bytes", [query_ops.BROADCAST_BYTES, 0])
+def test_large_batches_give_the_same_hits(corpus, monkeypatch, broadcast_bytes):
     docs, index = corpus
     batch = ["oil gold", "tin", "none"]
     calls = {
@@ -73,14 +74,14 @@ def test_large_batches_take_the_joined_path(corpus, monkeypatch):
         "biwords": lambda: lx.lookup_biwords(index, ["oil gold", "oil oil"]),
         "matched": lambda: lx.matched_terms(index, batch),
     }
-    broadcast = {name: sorted(map(str, call().collect())) for name, call in calls.items()}
-    monkeypatch.setattr(query_ops, "small_rows", lambda df: None)
-    joined = {name: sorted(map(str, call().select(*call().columns).collect())) for name, call in calls.items()}
 
-    def values(rows):
-        return sorted(",".join(sorted(row[4:-1].split(", "))) for row in rows)
+    def outputs():
+        return {name: sorted(map(str, call().collect())) for name, call in calls.items()}
 
-    assert {n: values(r) for n, r in joined.items()} == {n: values(r) for n, r in broadcast.items()}
+    few = outputs()
+    monkeypatch.setattr(query_ops, "small_rows", lambda df: None)
+    monkeypatch.setattr(query_ops, "BROADCAST_BYTES", broadcast_bytes)
+    assert outputs() == few
 
 
 def test_substring_gram_join_equals_scan(spark, corpus, monkeypatch):
