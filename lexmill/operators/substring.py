@@ -23,6 +23,8 @@ def substring_terms(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
     rows = small_rows(query_terms, INLINE_TERMS)
     if rows is None:
         matched = _by_gram(dictionary, query_terms)
+    elif not rows:
+        return dictionary.join(query_terms, "term").select("query_id", "term", "df", "n")
     else:
         matched = _by_scan(dictionary, local_copy(query_terms, rows), sorted({r.term for r in rows}))
     # A query may hold several parts of one index term; their counts add up.
@@ -30,10 +32,6 @@ def substring_terms(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
 
 
 def _by_scan(dictionary: DataFrame, query_terms: DataFrame, parts: list[str]) -> DataFrame:
-    if not parts:
-        return dictionary.select("term", "df").limit(0).join(
-            F.broadcast(query_terms.select("query_id", "n", F.col("term").alias("part"))), F.lit(False)
-        )
     wanted = reduce(lambda a, c: a | c, [F.col("term").contains(p) for p in parts])
     held = F.filter(F.array(*map(F.lit, parts)), lambda p: F.contains(F.col("term"), p))
     return (

@@ -20,7 +20,8 @@ from lexmill.session import stage
 from lexmill.sources.lines import read_corpus_stats
 from lexmill.sources.posting_lines import read_posting_lines
 
-ARRAYS = {"positional": ops.with_entries, "uniword": ops.with_uniwords, "biword": ops.with_biwords}
+# In the order the arrays are built: the widest last, so that it is copied least.
+ARRAYS = {"uniword": ops.with_uniwords, "biword": ops.with_biwords, "positional": ops.with_entries}
 ARRAY_COLUMNS = {"positional": "entries", "uniword": "uniwords", "biword": "biwords"}
 SHARDS = 64
 ROWS_PER_FILE = 100_000_000
@@ -174,8 +175,9 @@ def build_index(
     if partitions:
         docs = docs.repartition(partitions)
     arrays = term_arrays(kept_words(docs, stop_words, include_id_token))
-    for kind in kinds:
-        arrays = ARRAYS[kind](arrays)
+    for kind, add_array in ARRAYS.items():
+        if kind in kinds:
+            arrays = add_array(arrays)
     sizes = Observation()
     arrays = arrays.drop("terms").observe(sizes, *[F.sum(F.size(ARRAY_COLUMNS[k])).alias(k) for k in kinds])
     staged = stage(arrays, "documents")

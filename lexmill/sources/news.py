@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import TRIMMED_CHARS
 from lexmill.schemas import PARSED_NEWS
 from lexmill.sources.archives import named_entries
 

@@ -118,6 +118,7 @@ def test_no_hits_is_an_empty_frame(news_index):
     for mode in ("boolean", "tfidf", "bm25"):
         assert lx.search(news_index, "absent", mode).collect() == []
     assert lx.bm25(news_index, "  ").collect() == []
+    assert lx.bm25(news_index, "  ", match="substring").collect() == []
 
 
 def test_normalization(spark):
