@@ -7,6 +7,7 @@ as a user would build one index and search it many times.
 
 from __future__ import annotations
 
+import importlib
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -342,7 +343,35 @@ def entry(spark: SparkSession) -> DataFrame:
     return lx.bm25(index(spark, "/root/testdata/sf0.001"), RANKED)
 
 
+def optional(module: str):
+    """A module that may have been left out; what it needs itself must be there."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name is None or not module.startswith(error.name):
+            raise
+        return None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = search_queries()
+    if llm := optional("lexmill.llm.queries"):
+        found |= llm.QUERIES
+    if pipeline := optional("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = search_sql()
+    if llm := optional("lexmill.llm.queries"):
+        found |= llm.SQL
+    if (pipeline := optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
+def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "tokens": tokens,
         "tokens_long_stop_list": tokens_long_stop_list,
@@ -566,7 +595,7 @@ def _shared_ids() -> str:
       FROM p GROUP BY term, doc_id"""
 
 
-def oracle_sql() -> dict[str, str]:
+def search_sql() -> dict[str, str]:
     hits = _bm25()
     return {
         "tokens": f"WITH {_corpus()} SELECT doc_id, doc_len, pos, raw, term FROM tok",

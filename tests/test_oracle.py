@@ -6,7 +6,7 @@ from oracle import connect, differences
 
 import __spark_entry__ as entry_file
 
-ORACLES = entry_file.oracle_sql()
+ORACLES = entry_file.search_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_file.queries()) == set(ORACLES)
+    assert set(entry_file.search_queries()) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
