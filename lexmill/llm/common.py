@@ -47,40 +47,34 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: i
     return rows.join(few, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], name: str, total: str | None = None) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str, totals: tuple[str, ...] = ()) -> DataFrame:
     """``df`` staged with ``rank`` (0, 1, ... within ``group``, in ``order``), without a window over a whole group.
 
     Rows are dealt into sorted ranges of (group, order); a rank is the row's
     place in its part of the range plus the rows of the group in earlier ranges.
-    ``order`` must tell rows apart for ranks that do not depend on the run.
-    With ``total``, also ``before``: the sum of that column over earlier rows.
+    ``order`` must tell rows apart for ranks that do not depend on the run. For
+    each column in ``totals`` there is also ``before_<column>``: its sum over the
+    earlier rows of the group.
     """
     keys = [*group, *order]
     place = staged(
         df.repartitionByRange(partitions(df.sparkSession), *keys).withColumn("piece", F.spark_partition_id()), name
     )
     inside = Window.partitionBy("piece", *group).orderBy(*order)
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    counted = [F.count(F.lit(1)).alias("rows_")] + ([F.sum(total).alias("sum_")] if total else [])
-    parts = place.groupBy("piece", *group).agg(*counted)
+    zero = F.lit(0).cast("long")
+    parts = place.groupBy("piece", *group).agg(
+        F.count(F.lit(1)).alias("rank_"), *(F.sum(c).alias(f"before_{c}_") for c in totals)
+    )
     parts = parts.select(
-        "piece",
-        *group,
-        F.coalesce(F.sum("rows_").over(earlier), F.lit(0)).alias("rank_"),
-        *([F.coalesce(F.sum("sum_").over(earlier), F.lit(0)).alias("before_")] if total else []),
+        "piece", *group, *(F.coalesce(F.sum(c).over(earlier), zero).alias(c) for c in parts.columns if c.endswith("_"))
     )
     rows = place.withColumn("rank", F.row_number().over(inside) - F.lit(1).cast("long"))
-    if total:
-        rows = rows.withColumn(
-            "before",
-            F.coalesce(F.sum(total).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-    same = [rows["piece"] == parts["piece"], *(rows[c].eqNullSafe(parts[c]) for c in group)]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    joined = rows.join(parts, condition)
-    out = [rows[c] for c in df.columns] + [(rows["rank"] + parts["rank_"]).alias("rank")]
-    if total:
-        out.append((rows["before"] + parts["before_"]).alias("before"))
-    return joined.select(*out)
+    for c in totals:
+        rows = rows.withColumn(f"before_{c}", F.coalesce(F.sum(c).over(above), zero))
+    condition = rows["piece"] == parts["piece"]
+    for c in group:
+        condition = condition & rows[c].eqNullSafe(parts[c])
+    added = [(rows[c] + parts[f"{c}_"]).alias(c) for c in ("rank", *(f"before_{c}" for c in totals))]
+    return rows.join(parts, condition).select(*(rows[c] for c in df.columns), *added)
