@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import token_files, tokens
+from lexmill.llm import exact_dedup, mixing, simhash_dedup, token_files, tokens
 from lexmill.session import scratch_path
 
 
@@ -13,12 +13,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_dedup(spark, sf_dir):
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op2_token_files(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokens.vocabulary_path("byte_bpe_50k.json"))
     return token_files.read_tokens(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files,)}
+def op8_mixing(spark, sf_dir):
+    sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
+    taken = F.col("size") * F.col("copies")
+    return mixing.copies_of(sizes, sizes).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op9_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_dedup,
+        op2_token_files,
+        op8_mixing,
+        op9_exact_dedup,
+    )
+}
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op8_mixing": r"""
+      WITH sizes AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint AS size
+                     FROM documents),
+      per AS (SELECT source, sum(size)::bigint AS source_size,
+                     [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::integer]::bigint AS weight
+              FROM sizes GROUP BY source),
+      lim AS (SELECT *, 3 * source_size AS lim, (3 * source_size)::double / weight AS fullness FROM per),
+      rise AS (SELECT DISTINCT fullness,
+                      sum(source_size) OVER ()
+                        - coalesce(sum(lim) OVER (ORDER BY fullness RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
+                                                  EXCLUDE GROUP), 0) AS rest,
+                      sum(weight) OVER ()
+                        - coalesce(sum(weight) OVER (ORDER BY fullness RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
+                                                     EXCLUDE GROUP), 0) AS share
+               FROM lim),
+      lev AS (SELECT rest::double AS rest, share::double AS share FROM rise WHERE rest::double / share <= fullness
+              ORDER BY fullness LIMIT 1),
+      tgt AS (SELECT source, source_size, least(lim::double, rest * weight / share) AS target FROM lim, lev),
+      rated AS (SELECT doc_id, size, source_size, target,
+                       CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+                       ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double
+                         / 4503599627370496 AS u
+                FROM sizes JOIN tgt ON sizes.source IS NOT DISTINCT FROM tgt.source)
+      SELECT doc_id, size, source_size, target,
+             size * (floor(rate)::bigint + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+      FROM rated""",
+    "op9_exact_dedup": """
+      WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+                 FROM documents)
+      SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+             doc_id = max(doc_id) OVER g AS kept, text_sha256
+      FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+}
