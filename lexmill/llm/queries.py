@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, mixing, simhash_dedup, token_files, tokens
+from lexmill.llm import exact_dedup, mixing, simhash_dedup, token_files, tokens, tool_calls, url_filter
+from lexmill.llm.tool_calls import Argument
+from lexmill.llm.url_filter import Rule
 from lexmill.session import scratch_path
 
 
@@ -25,6 +27,20 @@ def op2_token_files(spark, sf_dir):
     return token_files.read_tokens(spark, path)
 
 
+URL_RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+
+
+def op5_url_filter(spark, sf_dir):
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
+
+
 def op8_mixing(spark, sf_dir):
     sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
     taken = F.col("size") * F.col("copies")
@@ -35,13 +51,49 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+TOOLS = [
+    Argument("search", "text", "STRING", max_length=400),
+    Argument("search", "limit", "BIGINT"),
+    Argument("translate", "text", "STRING"),
+    Argument("translate", "to", "STRING"),
+    Argument("summarise", "text", "STRING"),
+    Argument("summarise", "limit", "BIGINT", required=False),
+]
+
+
+def tool_messages(talk: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Conversations as tool traffic: a user's turn is a call that needs the result of the
+    user's turn before it, the assistant's next turn its result, any other turn plain text."""
+    name = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
+    conv, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
+    tool = F.get(F.array(F.lit("search"), F.lit("translate"), F.lit("summarise")), F.pmod(turn, F.lit(3)).cast("int"))
+    arguments = (
+        F.when(tool == "search", F.to_json(F.struct("text", F.pmod(conv, F.lit(7)).alias("limit"))))
+        .when(tool == "translate", F.to_json(F.struct(F.when(conv % 5 != 0, F.lit("en")).alias("to"), "text")))
+        .when(conv % 4 == 0, F.to_json(F.struct("text", F.lit("7").alias("limit"))))
+        .otherwise(F.to_json(F.struct("text", F.lit(7).alias("limit"))))
+    )
+    calls = talk.where("role = 'user'").select(
+        "conv_id", "turn", name(turn).alias("call_id"), name(turn - 2).alias("after"), tool.alias("tool"), arguments.alias("arguments")
+    )
+    results = talk.where("role = 'assistant'").select("conv_id", "turn", name(turn - 1).alias("call_id"), text.alias("content"))
+    others = talk.where("role is null or role not in ('user', 'assistant')")
+    return calls, results, others.select("conv_id", "turn", "role", text.alias("content"))
+
+
+def op10_tool_calls(spark, sf_dir):
+    return tool_calls.link(*tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_dedup,
         op2_token_files,
+        op5_url_filter,
         op8_mixing,
         op9_exact_dedup,
+        op10_tool_calls,
     )
 }
 
@@ -79,4 +131,35 @@ SQL = {
       SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
              doc_id = max(doc_id) OVER g AS kept, text_sha256
       FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op10_tool_calls": """
+      WITH u AS (SELECT *, ['search', 'translate', 'summarise'][(turn % 3 + 1)::integer] AS tool
+                 FROM conversations WHERE role = 'user'),
+      a AS (SELECT * FROM conversations WHERE role = 'assistant'),
+      chain AS (SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM u),
+      deep AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS depth FROM chain),
+      said AS (SELECT conv_id, turn, 'call_' || turn AS call_id, 'call' AS kind,
+                      CASE WHEN EXISTS (SELECT 1 FROM a WHERE a.conv_id = deep.conv_id AND a.turn = deep.turn + 1)
+                           THEN 'answered' ELSE 'unanswered' END AS status,
+                      CASE tool WHEN 'search' THEN CASE WHEN length(text) > 400 THEN 'length of text' ELSE '' END
+                                WHEN 'translate' THEN CASE WHEN conv_id % 5 = 0 THEN 'missing to' ELSE '' END
+                                ELSE CASE WHEN conv_id % 4 = 0 THEN 'type of limit' ELSE '' END END AS errors,
+                      2 * depth AS step,
+                      '{"arguments":{' ||
+                        CASE tool WHEN 'search' THEN '"limit":' || conv_id % 7 || ',"text":' || to_json(text)::varchar
+                                  WHEN 'translate' THEN '"text":' || to_json(text)::varchar
+                                                        || CASE WHEN conv_id % 5 = 0 THEN '' ELSE ',"to":"en"' END
+                                  ELSE '"limit":' || CASE WHEN conv_id % 4 = 0 THEN '"7"' ELSE '7' END
+                                       || ',"text":' || to_json(text)::varchar END
+                        || '},"id":"call_' || turn || '","kind":"call","tool":"' || tool || '"}' AS message
+               FROM deep),
+      got AS (SELECT a.conv_id, a.turn, 'call_' || (a.turn - 1) AS call_id, 'result' AS kind,
+                     CASE WHEN d.turn IS NULL THEN 'orphan' ELSE 'linked' END AS status, NULL::varchar AS errors,
+                     2 * d.depth + 1 AS step,
+                     '{"content":' || to_json(a.text)::varchar || ',"id":"call_' || (a.turn - 1) || '","kind":"result"}' AS message
+              FROM a LEFT JOIN deep d ON d.conv_id = a.conv_id AND d.turn = a.turn - 1),
+      other AS (SELECT conv_id, turn, NULL::varchar AS call_id, 'text' AS kind, NULL::varchar AS status,
+                       NULL::varchar AS errors, -1 AS step,
+                       '{"content":' || to_json(text)::varchar || ',"kind":"text","role":"' || role || '"}' AS message
+                FROM conversations WHERE role NOT IN ('user', 'assistant'))
+      SELECT * FROM said UNION ALL SELECT * FROM got UNION ALL SELECT * FROM other""",
 }
