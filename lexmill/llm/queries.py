@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, mixing, simhash_dedup, token_files, tokens, tool_calls, url_filter
+from lexmill.llm import exact_dedup, mixing, packing, simhash_dedup, token_files, tokens, tool_calls, url_filter
 from lexmill.llm.tool_calls import Argument
 from lexmill.llm.url_filter import Rule
 from lexmill.session import scratch_path
@@ -41,6 +41,10 @@ def op5_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary_path("word_bpe_49k.json"))
+
+
 def op8_mixing(spark, sf_dir):
     sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
     taken = F.col("size") * F.col("copies")
@@ -91,6 +95,7 @@ QUERIES = {
         op1_simhash_dedup,
         op2_token_files,
         op5_url_filter,
+        op6_packing,
         op8_mixing,
         op9_exact_dedup,
         op10_tool_calls,
