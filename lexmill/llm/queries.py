@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, mixing, packing, simhash_dedup, token_files, tokens, tool_calls, url_filter
+from lexmill.llm import doc_fingerprints, exact_dedup, mixing, packing, simhash_dedup, token_files, tokens, tool_calls, toxicity, url_filter
+from lexmill.llm.common import staged
 from lexmill.llm.tool_calls import Argument
 from lexmill.llm.url_filter import Rule
 from lexmill.session import scratch_path
@@ -27,6 +28,29 @@ def op2_token_files(spark, sf_dir):
     return token_files.read_tokens(spark, path)
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_doc_fingerprints(spark, sf_dir):
+    """The block tables answer for every row whose id is divisible by 50, against all rows."""
+    rows = staged(doc_fingerprints.compared(table(spark, sf_dir, "documents")), "compared-documents")
+    found = doc_fingerprints.searched(rows, F.col("doc_id") % 50 == 0)
+    digits = doc_fingerprints.hex_digits
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        digits("high", "low").alias("fingerprint"),
+        digits("edited_high", "edited_low").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "rows_near",
+        "first_near",
+    )
+
+
 URL_RULES = [
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -94,6 +118,8 @@ QUERIES = {
     for f in (
         op1_simhash_dedup,
         op2_token_files,
+        op3_toxicity,
+        op4_doc_fingerprints,
         op5_url_filter,
         op6_packing,
         op8_mixing,
