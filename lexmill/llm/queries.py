@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import doc_fingerprints, exact_dedup, mixing, packing, simhash_dedup, token_files, tokens, tool_calls, toxicity, url_filter
+from lexmill.llm import doc_fingerprints, exact_dedup, mixing, packing, secret_scan, simhash_dedup, token_files, tokens, tool_calls, toxicity, url_filter
 from lexmill.llm.common import staged
 from lexmill.llm.tool_calls import Argument
 from lexmill.llm.url_filter import Rule
@@ -69,6 +69,12 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary_path("word_bpe_49k.json"))
 
 
+def op7_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_mixing(spark, sf_dir):
     sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
     taken = F.col("size") * F.col("copies")
@@ -122,6 +128,7 @@ QUERIES = {
         op4_doc_fingerprints,
         op5_url_filter,
         op6_packing,
+        op7_secret_scan,
         op8_mixing,
         op9_exact_dedup,
         op10_tool_calls,
