@@ -44,7 +44,7 @@ BLOCK_BITS = 11
 BUCKET = 4096
 
 # Making, shuffling and sorting a row costs about as much as this many comparisons.
-ROW_COST = 200.0
+ROW_COST = 400.0
 
 
 # --- fingerprints -----------------------------------------------------------------------
