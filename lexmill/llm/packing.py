@@ -162,7 +162,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = 1)
     for size, (_, whole) in sorted(per_size.items()):
         first[size] = n_whole
         n_whole += whole
-    base = F.create_map(*(F.lit(x) for pair in first.items() for x in pair)) if first else F.lit(None)
+    base = F.create_map(*(F.lit(x) for pair in first.items() for x in pair)) if first else F.lit(None).cast("map<int,long>")
 
     # rests in the slots of patterns; a step of a broadcast table of at most length / STEP patterns
     spark = docs.sparkSession

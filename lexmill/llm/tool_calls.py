@@ -98,6 +98,8 @@ def link(calls: DataFrame, results: DataFrame, others: DataFrame, schema: list[A
     Rows that are repeated in full come back as often, with the same status.
     """
     columns = ["conv_id", "turn", "call_id", "kind", "status", "errors", "step", "message"]
+    calls = calls.select("conv_id", "turn", "call_id", "after", "tool", "arguments")
+    results = results.select("conv_id", "turn", "call_id", "content")
     nothing = F.lit(None).cast("string")
     rank = F.struct("turn", "tool", "arguments")
     first = (

@@ -95,7 +95,7 @@ def train(labelled: DataFrame) -> PipelineModel:
     host, path = host_and_path(labelled["url"])
     rows = labelled.select("label", ngrams(host, path).alias("grams")).persist()
     hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-    regression = LogisticRegression(maxIter=40, regParam=0.05, standardization=False)
+    regression = LogisticRegression(maxIter=40, regParam=0.02, standardization=False)
     model = Pipeline(stages=[hashing, regression]).fit(rows)
     rows.unpersist()
     return model

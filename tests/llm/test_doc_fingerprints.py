@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from llm_cases import SF_DIR, no_documents, odd_documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from lexmill.llm import doc_fingerprints, queries

@@ -2,7 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
-from conftest import SF_DIR
+from llm_cases import SF_DIR, no_documents, odd_documents  # noqa: F401
 from oracle import connect, differences
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import hashlib
 import math
 
-from conftest import SF_DIR
+from llm_cases import SF_DIR, no_documents, odd_documents  # noqa: F401
 from oracle import connect, differences
 from pyspark.sql import functions as F
 
@@ -43,7 +43,7 @@ def check(docs):
     for r in rows:
         source = r["source"]
         rate = targets[source] / sizes[source] if sizes[source] else 0
-        expected.append((r["doc_id"], source, size(r["text"]), sizes[source], round(targets[source], 6), plain_copies(r["doc_id"], rate)))
+        expected.append((r["doc_id"], source, size(r["text"]), sizes[source], round(float(targets[source]), 6), plain_copies(r["doc_id"], rate)))
     got = [(r["doc_id"], r["source"], r["size"], r["source_size"], round(r["target"], 6), r["copies"]) for r in found]
     assert sorted(map(str, got)) == sorted(map(str, expected))
     return expected

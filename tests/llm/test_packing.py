@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from llm_cases import SF_DIR, no_documents, odd_documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from lexmill.llm import packing, queries, tokens

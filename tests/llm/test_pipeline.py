@@ -1,7 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from conftest import SF_DIR
+from llm_cases import SF_DIR, odd_documents  # noqa: F401
 from test_mixing import plain_copies, plain_targets
 from test_packing import check as check_packing
 from test_simhash_dedup import plain_fingerprint, plain_groups

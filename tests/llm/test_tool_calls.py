@@ -1,6 +1,6 @@
 import json
 
-from conftest import SF_DIR
+from llm_cases import SF_DIR  # noqa: F401
 from oracle import connect, differences
 
 from lexmill.llm import queries, tool_calls

@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+from llm_cases import no_documents, odd_documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from lexmill.llm import queries, toxicity
@@ -16,15 +17,16 @@ def auc(pairs):
 
 
 def test_held_out_accuracy(spark):
-    labels = {r["doc_id"]: r["toxic"] for r in queries.table(spark, SF_DIR, "labels").collect()}
-    rows = queries.op3_toxicity(spark, SF_DIR).collect()
-    assert len(rows) == queries.table(spark, SF_DIR, "documents").count()
+    sf_dir = "/root/testdata/sf0.1"  # enough held-out toxic rows to measure
+    labels = {r["doc_id"]: r["toxic"] for r in queries.table(spark, sf_dir, "labels").collect()}
+    rows = queries.op3_toxicity(spark, sf_dir).collect()
+    assert len(rows) == queries.table(spark, sf_dir, "documents").count()
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
     held = [(r["score"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
-    assert len(held) > 50 and auc(held) > 0.85
-    assert sum((s >= 0.5) == bool(label) for s, label in held) / len(held) > 0.9
+    assert len(held) > 500 and auc(held) > 0.95
+    assert sum((s >= 0.5) == bool(label) for s, label in held) / len(held) > 0.95
 
 
 def test_only_training_labels_count(spark):
