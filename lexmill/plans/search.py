@@ -46,12 +46,17 @@ def index_archives(
     """(index, documents, bad_records) of the news archives under ``archives``.
 
     Archives are unpacked and parsed once, into a staged table. Entries that are
-    no news count as documents of length 0, as corpus statistics expect.
+    no news count as documents of length 0, as corpus statistics expect. Lenient
+    reading records an archive that was cut short as a bad record without an
+    entry name, which does not count.
     """
-    if partitions:
+    listed = list_zips(spark, archives)
+    if partitions:  # unpacked entries are spread over more tasks before they are parsed
+        cut = parse_archives(listed, lenient).where("entry_name is null") if lenient else None
         parsed = parse_entries(read_zips(spark, archives, lenient, partitions))
+        parsed = parsed.unionByName(cut) if lenient else parsed
     else:
-        parsed = parse_archives(list_zips(spark, archives), lenient)
+        parsed = parse_archives(listed, lenient)
     parsed = stage(parsed, "news")
     good = F.col("error").isNull()
     documents = parsed.where(good).select(
@@ -59,6 +64,6 @@ def index_archives(
     )
     bad_records = parsed.where(~good).select("zip_path", "entry_name", "error")
     index = build_index(
-        documents, path, stop_words, n_bad_records=bad_records.count(), **options
+        documents, path, stop_words, n_bad_records=bad_records.where("entry_name is not null").count(), **options
     )
     return index, documents, bad_records

@@ -20,6 +20,8 @@ from lexmill.schemas import ARCHIVE_ENTRIES
 LOCAL_HEADER = "<4s5H3I2H"
 LOCAL_HEADER_SIZE = 30
 LOCAL_SIGNATURE = b"PK\x03\x04"
+# what may follow the entries: extra data record, directory, its end, in ZIP64 form too
+DIRECTORY_SIGNATURES = (b"PK\x06\x08", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06")
 DESCRIPTOR_SIGNATURE = b"PK\x07\x08"
 STORED, DEFLATED = 0, 8
 FLAG_ENCRYPTED, FLAG_DESCRIPTOR, FLAG_UTF8 = 0x1, 0x8, 0x800
@@ -45,19 +47,29 @@ def _unpack(method: int, flags: int, packed: memoryview) -> tuple[bytes, int]:
     return content, len(packed) - len(inflater.unused_data)
 
 
-def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, bytes]]:
+def archive_entries(data: bytes, lenient: bool = False, damage: list[str] | None = None) -> Iterator[tuple[str, bytes]]:
     """(name, content) of each entry, in file order.
 
     Entries are found by their local headers, so everything before a truncation
-    is readable. Lenient reading ends an archive at the first damaged entry,
-    strict reading raises there.
+    is readable. The directory has to follow the last entry; an archive that ends
+    before it was cut short. Lenient reading ends an archive at the first damage,
+    strict reading raises there. ``damage`` gets what ended a lenient reading.
     """
+    damage = [] if damage is None else damage
     view, at = memoryview(data), 0
-    while at + LOCAL_HEADER_SIZE <= len(data):
-        header = struct.unpack_from(LOCAL_HEADER, data, at)
-        signature, _, flags, method, _, _, crc, packed_size, size, name_len, extra_len = header
-        if signature != LOCAL_SIGNATURE:
+    while True:
+        if data[at:at + 4] in DIRECTORY_SIGNATURES:
             return
+        if at == 0 and data[:4] != LOCAL_SIGNATURE:
+            return  # no archive, no entries
+        if data[at:at + 4] != LOCAL_SIGNATURE or at + LOCAL_HEADER_SIZE > len(data):
+            reason = "archive ends before its directory" if at + LOCAL_HEADER_SIZE > len(data) else "no entry or directory"
+            if lenient:
+                damage.append(reason)
+                return
+            raise DamagedArchive(reason)
+        header = struct.unpack_from(LOCAL_HEADER, data, at)
+        _, _, flags, method, _, _, crc, packed_size, size, name_len, extra_len = header
         body = at + LOCAL_HEADER_SIZE + name_len + extra_len
         try:
             if body > len(data):
@@ -75,14 +87,18 @@ def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, b
             if flags & FLAG_DESCRIPTOR:
                 if data[after:after + 4] == DESCRIPTOR_SIGNATURE:
                     after += 4
-                if after + 12 > len(data):
-                    raise DamagedArchive("archive ends inside a data descriptor")
                 crc = int.from_bytes(data[after:after + 4], "little")
-                after += 12
+                # sizes of 4 or, in a ZIP64 archive, 8 bytes; they are known by now
+                sizes = [struct.pack(form, used, len(content)) for form in ("<II", "<QQ") if form == "<QQ" or used < 2**32 > len(content)]
+                fitting = [s for s in sizes if data[after + 4:after + 4 + len(s)] == s]
+                if not fitting:
+                    raise DamagedArchive("archive ends inside a data descriptor, or its sizes are wrong")
+                after += 4 + len(fitting[-1])
             if zlib.crc32(content) != crc:
                 raise DamagedArchive("checksum mismatch")
-        except DamagedArchive:
+        except DamagedArchive as exc:
             if lenient:
+                damage.append(str(exc))
                 return
             raise
         name = data[at + LOCAL_HEADER_SIZE:at + LOCAL_HEADER_SIZE + name_len]
@@ -90,10 +106,12 @@ def archive_entries(data: bytes, lenient: bool = False) -> Iterator[tuple[str, b
         at = after
 
 
-def named_entries(path: str, data: bytes, lenient: bool) -> Iterator[tuple[str, bytes]]:
+def named_entries(
+    path: str, data: bytes, lenient: bool, damage: list[str] | None = None
+) -> Iterator[tuple[str, bytes]]:
     """Entries of one archive; damage is reported with the archive's path."""
     try:
-        yield from archive_entries(bytes(data), lenient)
+        yield from archive_entries(bytes(data), lenient, damage)
     except DamagedArchive as exc:
         raise DamagedArchive(f"{path}: {exc}") from exc
 

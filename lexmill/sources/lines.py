@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import trim_control
@@ -31,12 +31,17 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     return _leading_lines(spark, path).select(F.col("line").alias("word"))
 
 
+def _number(fields: Column, place: int) -> Column:
+    """A field as a number, null where it is missing or none."""
+    return F.get(fields, F.lit(place)).try_cast("long")
+
+
 def read_corpus_stats(spark: SparkSession, path: str) -> DataFrame:
     """(n_docs, avg_len) of a statistics file; its last line before a blank one counts."""
     fields = F.split(trim_control(F.col("line")), "\t")
     return (
         _leading_lines(spark, path)
-        .select("pos", fields.getItem(0).cast("long").alias("n_docs"), fields.getItem(1).cast("long").alias("avg_len"))
+        .select("pos", _number(fields, 0).alias("n_docs"), _number(fields, 1).alias("avg_len"))
         .orderBy(F.desc("pos"))
         .limit(1)
         .select("n_docs", "avg_len")

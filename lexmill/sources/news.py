@@ -24,7 +24,7 @@ ITEM_TAG = "newsitem"
 ID_ATTRIBUTE = "itemid"
 FIELD_TAGS = ("title", "headline", "text")
 ENTRY_SUFFIX = "newsML.xml"
-INT_RANGE = range(-(2**31), 2**31)
+ID_RANGE = range(-(2**63), 2**63)  # of a doc_id
 
 ENTRIES_PER_BATCH = 2_000
 
@@ -88,7 +88,7 @@ def parse_item(content: bytes) -> tuple:
         if missing:
             error = f"missing {missing[0]}"
             break
-        if not re.fullmatch(r"[+-]?\d+", item["id"]) or int(item["id"]) not in INT_RANGE:
+        if not re.fullmatch(r"[+-]?\d+", item["id"]) or int(item["id"]) not in ID_RANGE:
             error = f"bad item id {item['id']!r}"
             break
         found = (int(item["id"]), *("".join(item[tag]) for tag in FIELD_TAGS))
@@ -122,11 +122,17 @@ def parse_archives(archives: DataFrame, lenient: bool = False) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, data in zip(batch["path"], batch["content"]):
-                entries = named_entries(path, data, lenient)
+                damage: list[str] = []
+                entries = named_entries(path, data, lenient, damage)
                 while rows := [(path, name, *parse_item(xml)) for name, xml in islice(entries, ENTRIES_PER_BATCH)]:
                     parsed = pd.DataFrame(rows, columns=PARSED_NEWS.names)
                     parsed["doc_id"] = parsed["doc_id"].astype("Int64")
                     yield parsed
+                if damage:  # where a lenient reading ended is a record without an entry
+                    row = (path, None, None, None, None, None, f"archive cut short: {damage[0]}")
+                    parsed = pd.DataFrame([row], columns=PARSED_NEWS.names)
+                    parsed["doc_id"] = parsed["doc_id"].astype("Int64")
+                    yield parsed
 
     return archives.select("path", "content").mapInPandas(parse, PARSED_NEWS)
 

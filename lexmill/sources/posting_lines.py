@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the line format: term:df <tab> doc:tf:len<p1, p2>; ...
+KEY_PATTERN = r"^(.*):(\d+)$"
 POSTING_PATTERN = r"^(\d+)(?::(\d+):(\d+)<(.*)>)?$"
 
 
@@ -19,19 +20,20 @@ def from_posting_lines(lines: DataFrame) -> DataFrame:
 
     tf, doc_len and positions are null for uniword and biword lines. The last
     ':' of the key separates the df, so terms may hold a ':'. A term may take
-    several lines.
+    several lines. Lines and postings of another form are left out; see
+    ``bad_posting_lines``.
     """
-    key, listed = (F.split("line", "\t").getItem(i) for i in (0, 1))
-    rows = lines.select(
-        F.regexp_extract(key, r"^(.*):(\d+)$", 1).alias("term"),
-        F.regexp_extract(key, r"^(.*):(\d+)$", 2).cast("long").alias("df"),
+    key, listed = (F.get(F.split("line", "\t"), F.lit(i)) for i in (0, 1))
+    rows = lines.where(key.rlike(KEY_PATTERN)).select(
+        F.regexp_extract(key, KEY_PATTERN, 1).alias("term"),
+        F.regexp_extract(key, KEY_PATTERN, 2).cast("long").alias("df"),
         F.explode(F.array_remove(F.split(F.trim(listed), r";\s*"), "")).alias("posting"),
     )
 
     def part(group: int):
         return F.nullif(F.regexp_extract(F.trim("posting"), POSTING_PATTERN, group), F.lit(""))
 
-    return rows.select(
+    return rows.where(F.trim("posting").rlike(POSTING_PATTERN)).select(
         "term",
         "df",
         part(1).cast("long").alias("doc_id"),
@@ -39,3 +41,11 @@ def from_posting_lines(lines: DataFrame) -> DataFrame:
         part(3).cast("int").alias("doc_len"),
         F.split(part(4), r",\s*").cast("array<int>").alias("positions"),
     )
+
+
+def bad_posting_lines(lines: DataFrame) -> DataFrame:
+    """(line) of the lines that hold no key with a df, no tab, or a posting of another form."""
+    parts = F.split("line", "\t")
+    listed = F.array_remove(F.split(F.trim(F.get(parts, F.lit(1))), r";\s*"), "")
+    good = F.get(parts, F.lit(0)).rlike(KEY_PATTERN) & F.forall(listed, lambda p: F.trim(p).rlike(POSTING_PATTERN))
+    return lines.where(~F.coalesce(good, F.lit(False))).select("line")

@@ -74,6 +74,58 @@ def test_damaged_archives():
         assert list(archive_entries(empty)) == []
 
 
+def test_archives_that_end_too_early():
+    entries = [("a", b"one" * 100), ("b", b"two" * 100), ("c", b"three")]
+    whole = zipped(entries)
+    second = whole.index(b"PK\x03\x04", 4)
+    third = whole.index(b"PK\x03\x04", second + 4)
+    directory = whole.index(b"PK\x01\x02")
+    for cut, n in ((second, 1), (second + 10, 1), (third, 2), (directory, 3), (directory + 2, 3)):
+        damage = []
+        assert list(archive_entries(whole[:cut], True, damage)) == entries[:n]
+        assert len(damage) == 1
+        with pytest.raises(DamagedArchive):
+            list(archive_entries(whole[:cut]))
+    damage = []
+    assert list(archive_entries(whole, True, damage)) == entries and damage == []
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+def test_streamed_archives(zip64):
+    """Sizes after the content, of 4 or 8 bytes."""
+
+    class Stream(io.BytesIO):
+        def seekable(self):
+            return False
+
+        def seek(self, *place):
+            raise io.UnsupportedOperation
+
+        def tell(self):
+            raise io.UnsupportedOperation
+
+    entries = [(f"{i}", bytes([65 + i]) * 1000) for i in range(3)]
+    stream = Stream()
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in entries:
+            with archive.open(name, "w", force_zip64=zip64) as entry:
+                entry.write(content)
+    assert list(archive_entries(stream.getvalue())) == entries
+
+
+def test_cut_archive_is_a_bad_record_that_does_not_count(spark, tmp_path):
+    data = zipped([(f"{i}newsML.xml", item(i)) for i in range(3)])
+    (tmp_path / "zips").mkdir()
+    (tmp_path / "zips" / "cut.zip").write_bytes(data[: data.index(b"PK\x03\x04", 4)])
+    for n, partitions in enumerate((None, 2)):
+        ix, documents, bad = lx.index_archives(
+            spark, str(tmp_path / "zips"), str(tmp_path / f"index{n}"), lenient=True, partitions=partitions
+        )
+        assert documents.count() == 1 and ix.stats.n_docs == 1
+        (record,) = bad.collect()
+        assert record.entry_name is None and record.error.startswith("archive cut short")
+
+
 def test_large_central_header_is_not_an_entry():
     name = b"n" * 40
     header = struct.pack("<4s5H3I2H", b"PK\x03\x04", 20, 1, 8, 0, 0, 0, 0, 0, len(name), 0)
@@ -126,7 +178,7 @@ def test_parse_item_stops_at_first_bad_item():
         (b"<a/>", "no news item"),
         (item("x"), "bad item id"),
         (item(""), "bad item id"),
-        (item(2**31), "bad item id"),
+        (item(2**63), "bad item id"),
     ],
 )
 def test_parse_item_errors(content, error):
