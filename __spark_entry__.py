@@ -30,6 +30,7 @@ BIWORDS = ["with by", "as on", "By With", "de le"]
 RANKED = ["tion ther des than", "thon thnt tion", "Ther absent-term ing ing"]
 CHAIN = "tion OR ther AND des ANDNOT ing or un"
 SHARDS = 8
+WIDE_ID = 3_000_000_000_000
 
 _indexes: dict[tuple[str, str], lx.Index] = {}
 
@@ -63,31 +64,17 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each benchmark text as a Boolean chain of its first four plain words."""
+    """Each benchmark text as a Boolean chain of all its plain words, joined by AND, OR and ANDNOT in turn."""
     plain = F.split(F.regexp_replace("q", r"[^\w\s]", ""), r"\s+")
     words = F.filter(plain, lambda w: (w != "") & ~F.upper(w).isin(*OPERATORS))
-    return (
-        benchmark_queries(spark, sf_dir)
-        .select("query_id", words.alias("w"))
-        .where(F.size("w") >= 4)
-        .select(
-            "query_id",
-            F.concat_ws(
-                " ",
-                F.get("w", F.lit(0)),
-                F.lit("AND"),
-                F.get("w", F.lit(1)),
-                F.lit("OR"),
-                F.get("w", F.lit(2)),
-                F.lit("ANDNOT"),
-                F.get("w", F.lit(3)),
-            ).alias("q"),
-        )
-    )
+    turns = F.array(*(F.lit(o) for o in OPERATORS))
+    joined = F.transform("w", lambda w, i: F.when(i == 0, w).otherwise(F.concat_ws(" ", F.get(turns, (i - 1) % 3), w)))
+    chains = benchmark_queries(spark, sf_dir).select("query_id", words.alias("w"))
+    return chains.where(F.size("w") > 0).select("query_id", F.array_join(joined, " ").alias("q"))
 
 
-def news_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as news XML; documents without a label have no headline."""
+def news_entries(spark: SparkSession, sf_dir: str, headlines: bool = True, first_id: int = 0) -> DataFrame:
+    """The documents as news XML, with the quality label as headline, if any; else without, if so wished."""
 
     def element(tag: str, value: Column) -> Column:
         escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
@@ -97,10 +84,12 @@ def news_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     xml = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?><newsitem itemid="'),
-        F.col("doc_id").cast("string"),
+        (F.col("doc_id") + first_id).cast("string"),
         F.lit('">'),
         element("title", first_line),
-        F.when(F.col("quality").isNull(), F.lit("")).otherwise(element("headline", F.col("quality").cast("string"))),
+        element("headline", F.coalesce(F.col("quality").cast("string"), F.lit("none")))
+        if headlines
+        else F.when(F.col("quality").isNull(), F.lit("")).otherwise(element("headline", F.col("quality").cast("string"))),
         F.lit("<text>"),
         element("p", F.col("text")),
         F.lit("</text></newsitem>"),
@@ -110,7 +99,7 @@ def news_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(labels, "doc_id", "left")
         .select(
             F.lit("news.zip").alias("zip_path"),
-            lx.sources.news.doc_name(F.col("doc_id")).alias("entry_name"),
+            lx.sources.news.doc_name(F.col("doc_id") + first_id).alias("entry_name"),
             F.encode(xml, "UTF-8").alias("content"),
         )
     )
@@ -139,12 +128,12 @@ def tokens_long_stop_list(spark, sf_dir):
 
 
 def positional_index(spark, sf_dir):
-    postings = lx.positional_postings(documents(spark, sf_dir), STOP_WORDS)
+    postings = lx.positional_postings(documents(spark, sf_dir), STOP_WORDS, unique_ids=True)
     return postings.select("term", "doc_id", "tf", "doc_len", listed())
 
 
 def positional_index_id_token(spark, sf_dir):
-    postings = lx.positional_postings(documents(spark, sf_dir), STOP_WORDS, include_id_token=True)
+    postings = lx.positional_postings(documents(spark, sf_dir), STOP_WORDS, include_id_token=True, unique_ids=True)
     return postings.select("term", "doc_id", "tf", "doc_len", listed())
 
 
@@ -160,11 +149,11 @@ def saved_positional_index(spark, sf_dir):
 
 
 def uniword_index(spark, sf_dir):
-    return lx.uniword_postings(documents(spark, sf_dir), STOP_WORDS)
+    return lx.uniword_postings(documents(spark, sf_dir), STOP_WORDS, unique_ids=True)
 
 
 def term_df(spark, sf_dir):
-    return lx.document_frequency(lx.uniword_postings(documents(spark, sf_dir), STOP_WORDS))
+    return lx.document_frequency(lx.uniword_postings(documents(spark, sf_dir), STOP_WORDS, unique_ids=True))
 
 
 def saved_terms(spark, sf_dir):
@@ -172,17 +161,21 @@ def saved_terms(spark, sf_dir):
 
 
 def biword_index(spark, sf_dir):
-    return lx.biword_postings(documents(spark, sf_dir), STOP_WORDS)
+    return lx.biword_postings(documents(spark, sf_dir), STOP_WORDS, unique_ids=True)
 
 
 def biword_index_reference(spark, sf_dir):
-    return lx.biword_postings(documents(spark, sf_dir), STOP_WORDS, include_id_token=True, variant="reference")
+    return lx.biword_postings(documents(spark, sf_dir), STOP_WORDS, include_id_token=True, unique_ids=True, variant="reference")
 
 
 def biword_df(spark, sf_dir):
     return lx.document_frequency(index(spark, sf_dir).biwords, "biword")
 
 
+def saved_biword_terms(spark, sf_dir):
+    return index(spark, sf_dir).biword_terms.select("biword", "df")
+
+
 def document_lengths(spark, sf_dir):
     return lx.document_lengths(documents(spark, sf_dir))
 
@@ -263,6 +256,80 @@ def boolean_batch(spark, sf_dir):
     return lx.boolean_search(index(spark, sf_dir), benchmark_chains(spark, sf_dir))
 
 
+def boolean_malformed(spark, sf_dir):
+    """The plain benchmark texts are no chains, but for those of one word."""
+    mixed = benchmark_queries(spark, sf_dir).unionByName(benchmark_chains(spark, sf_dir))
+    return lx.malformed_queries(mixed)
+
+
+def lookup_uniword(spark, sf_dir):
+    """Terms looked up in an index of words without positions."""
+    key = (spark.sparkContext.applicationId, sf_dir + " uniword")
+    if key not in _indexes:
+        path = scratch_path(spark, "uniword-index")
+        _indexes[key] = lx.build_index(documents(spark, sf_dir), path, STOP_WORDS, ("uniword",), shards=SHARDS)
+    return lx.lookup(_indexes[key], TERMS)
+
+
+def no_hits(spark, sf_dir):
+    """Terms that occur nowhere, in every mode."""
+    ix, query = index(spark, sf_dir), "absent-term-one absent-term-two"
+    found = [lx.search(ix, query.replace(" ", " AND ") if mode == 1 else query, mode) for mode in (1, 2, None)]
+    return rounded(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+def stop_word_file(spark, sf_dir):
+    """Tokens without the words of a stop-word file, the source names and first words of the benchmark."""
+    path = scratch_path(spark, "stop-words")
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).distinct()
+    words.select("word").where("word <> ''").coalesce(1).write.text(path)
+    return lx.tokenize(documents(spark, sf_dir), lx.read_stop_words(spark, path))
+
+
+def stop_words_with_nulls(spark, sf_dir):
+    """A stop list with a null, and with words that only trimming would make equal to tokens."""
+    return lx.tokenize(documents(spark, sf_dir), [*STOP_WORDS, None, "\x0btion", " ther"])
+
+
+def corpus_stats_file(spark, sf_dir):
+    path = scratch_path(spark, "statistics")
+    lx.write_corpus_stats(index(spark, sf_dir).corpus_stats, path)
+    return lx.read_corpus_stats(spark, path)
+
+
+def line_index(spark, sf_dir):
+    """The index as text lines of the standard form, with its statistics, opened again."""
+    key = (spark.sparkContext.applicationId, sf_dir + " lines")
+    if key not in _indexes:
+        ix, path, stats = index(spark, sf_dir), scratch_path(spark, "lines"), scratch_path(spark, "line-stats")
+        lx.write_lines(lx.positional_lines(ix.postings, ix.terms), path, "term")
+        _indexes[key] = lx.Index.from_lines(spark, path)
+    return _indexes[key]
+
+
+def bm25_from_lines(spark, sf_dir):
+    """Documents without any term are unknown to the lines; the statistics come from the index."""
+    return rounded(lx.bm25(line_index(spark, sf_dir), RANKED, stats=index(spark, sf_dir).corpus_stats))
+
+
+def tfidf_from_lines(spark, sf_dir):
+    n = index(spark, sf_dir).stats.n_docs
+    return rounded(lx.tfidf(line_index(spark, sf_dir), RANKED, n_docs=n))
+
+
+def bad_posting_lines(spark, sf_dir):
+    """Texts of the benchmark among the lines of the index: they are no posting lines."""
+    ix = index(spark, sf_dir)
+    lines = lx.positional_lines(ix.postings, ix.terms).select("line")
+    return lx.bad_posting_lines(lines.unionByName(table(spark, sf_dir, "benchmark").select(F.col("text").alias("line"))))
+
+
+def news_wide_ids(spark, sf_dir):
+    """News whose item ids need more than 32 bits."""
+    found = lx.parse_news(news_entries(spark, sf_dir, first_id=WIDE_ID))[0]
+    return found.select("doc_id", "doc_name", "headline")
+
+
 def ranked(search: Callable, **options) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: rounded(search(index(spark, sf_dir), RANKED, **options))
 
@@ -307,8 +374,8 @@ def uniword_lines(spark, sf_dir):
 
 
 def biword_lines(spark, sf_dir):
-    biwords = index(spark, sf_dir).biwords
-    return lx.key_lines(biwords, lx.document_frequency(biwords, "biword"), "biword")
+    ix = index(spark, sf_dir)
+    return lx.key_lines(ix.biwords, ix.biword_terms, "biword")
 
 
 def posting_lines_round_trip(spark, sf_dir):
@@ -334,7 +401,8 @@ def news_from_zips(spark, sf_dir):
 
 
 def news_bad_records(spark, sf_dir):
-    bad = parse_entries(news_entries(spark, sf_dir)).where(F.col("error").isNotNull())
+    """Documents without a label have no headline here, and become bad records."""
+    bad = parse_entries(news_entries(spark, sf_dir, headlines=False)).where(F.col("error").isNotNull())
     return bad.select("entry_name", "error")
 
 
@@ -405,10 +473,21 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "boolean_single": boolean("ther"),
         "boolean_chain": boolean(CHAIN),
         "boolean_batch": boolean_batch,
+        "boolean_malformed": boolean_malformed,
+        "lookup_uniword": lookup_uniword,
+        "no_hits": no_hits,
+        "stop_word_file": stop_word_file,
+        "stop_words_with_nulls": stop_words_with_nulls,
+        "corpus_stats_file": corpus_stats_file,
+        "saved_biword_terms": saved_biword_terms,
+        "bm25_from_lines": bm25_from_lines,
+        "tfidf_from_lines": tfidf_from_lines,
+        "bad_posting_lines": bad_posting_lines,
+        "news_wide_ids": news_wide_ids,
         "bm25_standard": ranked(lx.bm25),
-        "bm25_reference": ranked(lx.bm25, variant="reference"),
+        "bm25_reference": ranked(lx.bm25, match="exact", variant="reference"),
         "bm25_substring": ranked(lx.bm25, match="substring", k1=1.5, b=0.5),
-        "bm25_substring_reference": ranked(lx.bm25, match="substring", variant="reference"),
+        "bm25_substring_reference": ranked(lx.bm25, variant="reference"),
         "bm25_all_hits": ranked(lx.bm25, k=0),
         "bm25_batch": ranked_batch(lx.bm25, k=10),
         "bm25_substring_batch": ranked_batch(lx.bm25, k=10, match="substring"),
@@ -497,10 +576,11 @@ def _bm25(
     return f"""
       WITH {_corpus()}, {query}, {_QUERY_TERMS},
       pt AS (SELECT t.term AS part, d.term, d.df FROM (SELECT DISTINCT term FROM qt) t JOIN df d ON {on}),
-      s AS (SELECT query_id, p.doc_id, round(sum(n * {_bm25_weight(variant, k1, b)}), 6) AS score
+      s AS (SELECT query_id, p.doc_id, round(sum(n * {_bm25_weight(variant, k1, b)}), 9) AS score
             FROM qt JOIN pt ON qt.term = pt.part JOIN post p ON p.term = pt.term CROSS JOIN st
             GROUP BY query_id, p.doc_id)
-      SELECT * FROM (SELECT query_id, doc_id, {_NAME} AS doc_name, score, {rank} AS rank FROM s WHERE {keep}) {cut}"""
+      SELECT query_id, doc_id, doc_name, round(score, 6) AS score, rank
+      FROM (SELECT query_id, doc_id, {_NAME} AS doc_name, score, {rank} AS rank FROM s WHERE {keep}) {cut}"""
 
 
 def _tfidf(query: str = _RANKED_QUERIES, k: int = 20, variant: str = "standard", n_docs: str = "n_docs") -> str:
@@ -508,7 +588,7 @@ def _tfidf(query: str = _RANKED_QUERIES, k: int = 20, variant: str = "standard",
     weight = f"(1 + log10(tf)) * ({idf})"
     if variant == "standard":
         scores = f"""
-      s AS (SELECT query_id, doc_id, round(sum({weight}) / any_value(norm), 6) AS score
+      s AS (SELECT query_id, doc_id, round(sum({weight}) / any_value(norm), 12) AS score
             FROM w GROUP BY query_id, doc_id)"""
     else:
         scores = f"""
@@ -544,10 +624,11 @@ _BENCHMARK_CHAINS = r"""
       qw AS (SELECT item_id AS query_id,
                     list_filter(regexp_split_to_array(lower(regexp_replace(text, '[^\w\s]', '', 'g')), '\s+'),
                                 lambda x: x NOT IN ('', 'and', 'or', 'andnot')) AS w FROM benchmark),
-      qs AS (SELECT query_id, unnest([w[1], w[2], w[3], w[4]]) AS term, unnest([1, 2, 3, 4]) AS slot
-             FROM qw WHERE len(w) >= 4),
-      m AS (SELECT query_id, doc_id, bool_or(slot = 1) AS f1, bool_or(slot = 2) AS f2,
-                   bool_or(slot = 3) AS f3, bool_or(slot = 4) AS f4
+      qs AS (SELECT query_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS slot FROM qw),
+      ands AS (SELECT query_id, list(slot) AS slots FROM qs WHERE slot % 3 = 1 GROUP BY query_id),
+      m AS (SELECT query_id, doc_id, list(slot) AS held,
+                   coalesce(max(slot) FILTER (slot = 0 OR slot % 3 = 2), -1) AS decides_in,
+                   coalesce(max(slot) FILTER (slot > 0 AND slot % 3 = 0), -1) AS held_out
             FROM qs JOIN post USING (term) GROUP BY query_id, doc_id)"""
 
 
@@ -605,8 +686,8 @@ def search_sql() -> dict[str, str]:
           SELECT page_id, lower(replace(trim(url, E' \t\n\r'), '"', '') || ' '
                                 || replace(trim(html, E' \t\n\r'), '"', '')) AS body FROM pages""",
         "news_from_zips": f"""
-          SELECT doc_id, {_NAME} AS doc_name, {_FIRST_LINE} AS title, quality::varchar AS headline, text
-          FROM documents JOIN labels USING (doc_id)""",
+          SELECT doc_id, {_NAME} AS doc_name, {_FIRST_LINE} AS title, coalesce(quality::varchar, 'none') AS headline, text
+          FROM documents LEFT JOIN labels USING (doc_id)""",
         "news_bad_records": f"""
           SELECT {_NAME} AS entry_name, 'missing headline' AS error
           FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
@@ -654,7 +735,31 @@ def search_sql() -> dict[str, str]:
         "boolean_chain": _boolean(CHAIN),
         "boolean_batch": f"""
           WITH {_corpus()}, {_BENCHMARK_CHAINS}
-          SELECT query_id, doc_id, {_NAME} AS doc_name FROM m WHERE ((f1 AND f2) OR f3) AND NOT f4""",
+          SELECT query_id, doc_id, {_NAME} AS doc_name FROM m LEFT JOIN ands USING (query_id)
+          WHERE decides_in > greatest(held_out,
+                                      coalesce(list_max(list_filter(slots, lambda s: NOT list_contains(held, s))), -1))""",
+        "boolean_malformed": r"""
+          SELECT item_id AS query_id, text AS q FROM benchmark
+          WHERE len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) > 1""",
+        "lookup_uniword": f"""
+          WITH {_corpus()} SELECT term, df, doc_id, NULL::integer AS tf, NULL::integer AS doc_len
+          FROM post JOIN df USING (term) WHERE term IN ({_strings([t.lower() for t in TERMS])})""",
+        "no_hits": """
+          SELECT doc_id AS query_id, doc_id, text AS doc_name, 0.0::double AS score, 0::integer AS rank
+          FROM documents WHERE false""",
+        "stop_word_file": f"""
+          WITH {_corpus(stops="SELECT unnest(regexp_split_to_array(lower(text), '[ " + "\\t\\n\\r]+')) FROM benchmark")}
+          SELECT doc_id, doc_len, pos, raw, term FROM tok""",
+        "stop_words_with_nulls": f"WITH {_corpus()} SELECT doc_id, doc_len, pos, raw, term FROM tok",
+        "corpus_stats_file": f"WITH {_corpus()} SELECT n_docs, avg_len FROM st",
+        "saved_biword_terms": f"WITH {_corpus()}, {_BIWORDS} SELECT biword, count(*) AS df FROM bi GROUP BY biword",
+        "bm25_from_lines": hits,
+        "tfidf_from_lines": _tfidf(),
+        "bad_posting_lines": "SELECT text AS line FROM benchmark",
+        "news_wide_ids": f"""
+          SELECT doc_id + {WIDE_ID} AS doc_id, (doc_id + {WIDE_ID})::varchar || 'newsML.xml' AS doc_name,
+                 coalesce(quality::varchar, 'none') AS headline
+          FROM documents LEFT JOIN labels USING (doc_id)""",
         "bm25_standard": hits,
         "bm25_reference": _bm25(k=51, variant="reference"),
         "bm25_substring": _bm25(match="substring", k1=1.5, b=0.5),

@@ -5,7 +5,7 @@ import sys
 from pyspark import cloudpickle
 
 from lexmill.operators.bm25 import bm25
-from lexmill.operators.boolean import boolean_search
+from lexmill.operators.boolean import boolean_search, malformed_queries
 from lexmill.operators.hydrate import hydrate
 from lexmill.operators.lookup import lookup, lookup_biwords, matched_terms
 from lexmill.operators.postings import (
@@ -24,13 +24,14 @@ from lexmill.sinks.results import hit_lines, write_corpus_stats, write_documents
 from lexmill.sources.archives import read_zips, unzip
 from lexmill.sources.lines import read_corpus_stats, read_stop_words
 from lexmill.sources.news import parse_news
-from lexmill.sources.posting_lines import from_posting_lines, read_posting_lines
+from lexmill.sources.posting_lines import bad_posting_lines, from_posting_lines, read_posting_lines
 
 # Tasks that unpack archives carry their code along, so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 __all__ = [
     "Index",
+    "bad_posting_lines",
     "biword_postings",
     "bm25",
     "boolean_search",
@@ -45,6 +46,7 @@ __all__ = [
     "index_archives",
     "key_lines",
     "lookup",
+    "malformed_queries",
     "lookup_biwords",
     "matched_terms",
     "parse_news",

@@ -76,11 +76,14 @@ def normalize_term(raw: Column) -> Column:
 
 
 def is_one_of(raw: Column, words: list[str]) -> Column:
-    """True where a token, blanks around it trimmed, is one of ``words``.
+    """True where a token, blanks around it trimmed, is one of ``words``."""
+    return trimmed_token(raw).isin(words)
 
-    Tokens rarely hold a blank, so the costly trim is kept behind a cheap test.
-    """
-    return raw.isin(words) | (raw.rlike(f"[{BLANK}]") & trim_control(raw).isin(words))
+
+def trimmed_token(raw: Column) -> Column:
+    """A token without the blanks around it. Tokens rarely hold a blank, so the
+    costly trim is kept behind a cheap test."""
+    return F.when(raw.rlike(f"[{BLANK}]"), trim_control(raw)).otherwise(raw)
 
 
 def split_query(query: Column) -> Column:

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.weights import REFERENCE, STANDARD, bm25_weight, check_variant
-from lexmill.operators.lookup import with_df
+from lexmill.operators.lookup import need_positions, with_df
 from lexmill.operators.queries import Queries, TermSide, as_queries, query_terms
-from lexmill.operators.ranking import top_hits
+from lexmill.operators.ranking import EXACT_DIGITS, top_hits
 from lexmill.operators.substring import substring_terms
 
 # Result limits, and the least positive score the reference
 # variant reports (below it a score is printed with an exponent and lost).
 DEFAULT_K = {STANDARD: 50, REFERENCE: 51}
+DEFAULT_MATCH = {STANDARD: "exact", REFERENCE: "substring"}
 LEAST_PRINTED_SCORE = 1e-3
 
-# Sums of doubles depend on their order; rounded scores keep ties stable.
-SCORE_DIGITS = 6
 
 
 def bm25(
@@ -26,18 +25,21 @@ def bm25(
     k: int | None = None,
     k1: float = 1.2,
     b: float = 0.75,
-    match: str = "exact",
+    match: str | None = None,
     variant: str = STANDARD,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, doc_id, doc_name, score, rank), best first.
 
     A query term that occurs twice counts twice. ``match="substring"`` lets a
-    query term match every index term that contains it. k None means the
-    variant's own limit, k=0 all hits without ranks. ``stats(n_docs, avg_len)``
+    query term match every index term that contains it; None means the variant's
+    own way (exact for the standard, substring for the reference variant). k None
+    means the variant's own limit, k=0 all hits without ranks. ``stats(n_docs, avg_len)``
     replaces the statistics of the index.
     """
     check_variant(variant)
+    need_positions(index)
+    match = match or DEFAULT_MATCH[variant]
     counted = (
         query_terms(as_queries(index.spark, queries)).groupBy("query_id", "term").agg(F.count("*").alias("n"))
     )
@@ -62,7 +64,7 @@ def bm25(
     scored = (
         side.join(index.postings)
         .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(weight * F.col("n")), SCORE_DIGITS).alias("score"))
+        .agg(F.round(F.sum(weight * F.col("n")), EXACT_DIGITS).alias("score"))
     )
     ties = None
     if variant == REFERENCE:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import local_copy, small_rows, stage
+from lexmill.session import discard, local_copy, small_rows, stage
 
 
 def hydrate(hits: DataFrame, documents: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def hydrate(hits: DataFrame, documents: DataFrame) -> DataFrame:
     if rows is None:
         joined = texts.join(hits, "doc_id")
     else:
+        discard(hits)
         ids = sorted({row.doc_id for row in rows})
         joined = texts.where(F.col("doc_id").isin(ids)).join(F.broadcast(local_copy(hits, rows)), "doc_id")
     file_name = F.replace("doc_name", F.lit("xml"), F.lit("txt"))

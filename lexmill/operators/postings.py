@@ -44,12 +44,12 @@ def with_entries(terms: DataFrame) -> DataFrame:
     )
 
 
-def explode_entries(entries: DataFrame) -> DataFrame:
-    """Postings (term, doc_id, tf, doc_len, positions) of per-document entries."""
+def explode_entries(entries: DataFrame, norms: tuple[str, ...] = ()) -> DataFrame:
+    """Postings (term, doc_id, tf, doc_len, positions) of per-document entries, and their columns ``norms``."""
     return (
-        entries.select("doc_id", "doc_len", F.inline_outer("entries"))
+        entries.select("doc_id", "doc_len", *norms, F.inline_outer("entries"))
         .where(F.col("term").isNotNull())
-        .select("term", "doc_id", "tf", "doc_len", "positions")
+        .select("term", "doc_id", "tf", "doc_len", "positions", *norms)
     )
 
 
@@ -66,12 +66,12 @@ def positional_postings(
     docs: DataFrame,
     stop_words: StopWords = None,
     include_id_token: bool = False,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """(term, doc_id, tf, doc_len, positions).
 
-    With unique document ids this is a projection of the documents, without a
-    shuffle. Set ``unique_ids=False`` to unite documents that share an id.
+    Documents that share an id are united. With ``unique_ids=True``, for ids known
+    to be unique, this is a projection of the documents, without a shuffle.
     """
     kept = kept_words(docs, stop_words, include_id_token)
     postings = explode_entries(with_entries(term_arrays(kept)))
@@ -102,7 +102,7 @@ def uniword_postings(
     docs: DataFrame,
     stop_words: StopWords = None,
     include_id_token: bool = False,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """(term, doc_id), each pair once."""
     terms = term_arrays(kept_words(docs, stop_words, include_id_token))
@@ -113,7 +113,7 @@ def biword_postings(
     docs: DataFrame,
     stop_words: StopWords = None,
     include_id_token: bool = False,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
     variant: str = "standard",
 ) -> DataFrame:
     """(biword, doc_id), each pair once.

@@ -13,6 +13,11 @@ from lexmill.sources.news import doc_name
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
+# Sums of doubles depend on their order. Hits are compared at so many digits, which
+# only takes off that noise (of sums up to some thousands), and reported with fewer.
+EXACT_DIGITS = 9
+SCORE_DIGITS = 6
+
 
 def top_hits(scored: DataFrame, k: int, ties: Column | None = None) -> DataFrame:
     """(query_id, doc_id, doc_name, score, rank) of the k best hits per query.
@@ -35,4 +40,5 @@ def top_hits(scored: DataFrame, k: int, ties: Column | None = None) -> DataFrame
             )
         best = Window.partitionBy("query_id").orderBy(*order)
         ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.withColumn("doc_name", doc_name(F.col("doc_id"))).select(HIT_COLUMNS)
+    named = ranked.withColumns({"doc_name": doc_name(F.col("doc_id")), "score": F.round("score", SCORE_DIGITS)})
+    return named.select(HIT_COLUMNS)

@@ -46,16 +46,14 @@ def word_arrays(docs: DataFrame, include_id_token: bool = False, on_blanks: bool
 
 
 def inline_stop_words(stop_words: StopWords) -> list[str] | None:
-    """The stop list as Python strings, or None if it has too many words for that."""
+    """The stop list as Python strings, nulls left out, or None if it has too many words for that."""
     if stop_words is None:
         return []
     if isinstance(stop_words, DataFrame):
         rows = small_rows(stop_words.select("word"), INLINE_STOP_WORDS)
-        return None if rows is None else [row.word for row in rows]
-    words = list(stop_words)
-    if len(words) > INLINE_STOP_WORDS:
-        raise ValueError("pass a stop list of this size as a DataFrame(word)")
-    return words
+        return None if rows is None else [row.word for row in rows if row.word is not None]
+    words = [word for word in stop_words if word is not None]
+    return words if len(words) <= INLINE_STOP_WORDS else None
 
 
 def kept_words(
@@ -67,11 +65,16 @@ def kept_words(
     """(doc_id, doc_len, kept): words that are no stop words, with positions.
 
     ``kept`` is array<struct<pos, raw>>. Stop words take up positions; tokens
-    that are no words do not.
+    that are no words do not. A token is a stop word if it is in the list once
+    the blanks around it are trimmed, however long the list is.
     """
+    if stop_words is not None and not isinstance(stop_words, DataFrame):
+        stop_words = list(stop_words)
     words = word_arrays(docs, include_id_token, on_blanks)
     inline = inline_stop_words(stop_words)
     if inline is None:
+        if isinstance(stop_words, list):
+            stop_words = docs.sparkSession.createDataFrame([(word,) for word in stop_words], "word string")
         return _without_joined_stop_words(words, stop_words)
     placed = words.select(
         "doc_id",
@@ -92,7 +95,7 @@ def _without_joined_stop_words(words: DataFrame, stop_words: DataFrame) -> DataF
     placed = words.select(F.monotonically_increasing_id().alias("doc_key"), "*").select(
         "doc_key", "doc_id", "doc_len", F.posexplode_outer("words").alias("i", "raw")
     )
-    placed = placed.withColumn("word", txt.trim_control(F.col("raw")))
+    placed = placed.withColumn("word", txt.trimmed_token(F.col("raw")))
     placed, stops = salted(placed, stop_words.select("word", F.lit(True).alias("stop")).distinct(), "doc_key")
     return (
         placed.join(stops, ["word", "salt"], "left")

@@ -16,7 +16,7 @@ from lexmill.operators import postings as ops
 from lexmill.operators.queries import shard_of
 from lexmill.operators.stats import corpus_stats, document_norms
 from lexmill.operators.tokens import StopWords, kept_words, term_arrays
-from lexmill.session import stage
+from lexmill.session import discard, stage
 from lexmill.sources.lines import read_corpus_stats
 from lexmill.sources.posting_lines import read_posting_lines
 
@@ -24,7 +24,8 @@ from lexmill.sources.posting_lines import read_posting_lines
 ARRAYS = {"uniword": ops.with_uniwords, "biword": ops.with_biwords, "positional": ops.with_entries}
 ARRAY_COLUMNS = {"positional": "entries", "uniword": "uniwords", "biword": "biwords"}
 SHARDS = 64
-ROWS_PER_FILE = 100_000_000
+ROWS_PER_FILE = 8_000_000
+NORMS = ("norm", "norm_reference")
 
 
 @dataclass
@@ -43,6 +44,7 @@ class Index:
     biwords: DataFrame | None = None
     postings: DataFrame | None = None
     uniwords: DataFrame | None = None
+    biword_terms: DataFrame | None = None
 
     @cached_property
     def stats(self) -> Row:
@@ -75,6 +77,7 @@ class Index:
             index.uniwords = table("uniwords", schemas.UNIWORDS)
         if "biword" in meta.kinds:
             index.biwords = table("biwords", schemas.BIWORDS)
+            index.biword_terms = table("biword_terms", schemas.BIWORD_TERMS)
         if index.postings is not None or index.uniwords is not None:
             index.terms = table("terms", schemas.TERMS)
         return index
@@ -86,7 +89,7 @@ class Index:
         the writers by ranges of (bucket, term, document), so that no term has
         to fit one task.
         """
-        for name, key in (("postings", "term"), ("uniwords", "term"), ("biwords", "biword"), ("terms", "term")):
+        for name, key in (("postings", "term"), ("uniwords", "term"), ("biwords", "biword"), ("terms", "term"), ("biword_terms", "biword")):
             table = getattr(self, name)
             if table is None:
                 continue
@@ -114,33 +117,38 @@ class Index:
         return cls(
             spark,
             None,
-            **{name: table(name) for name in ("doc_stats", "corpus_stats", "terms", "biwords", "postings", "uniwords")},
+            **{name: table(name) for name in ("doc_stats", "corpus_stats", "terms", "biwords", "postings", "uniwords", "biword_terms")},
         )
 
     @classmethod
     def from_lines(cls, spark: SparkSession, path: str, stats_path: str | None = None) -> Index:
         """Open a positional or uniword index kept as posting lines.
 
-        ``stats_path`` is a file of corpus statistics. Without one the documents
-        are counted from the postings, and BM25 lacks an average length.
+        Everything is decoded and derived once, into staged tables. Lines of the
+        reference form give length 0 to documents that hold a term once; the
+        length is taken from a document's other postings, and is null if it has
+        none. ``stats_path`` is a file of corpus statistics; without one they are
+        those of the documents in the postings. Lines that cannot be decoded are
+        left out (``bad_posting_lines`` has them).
         """
         rows = stage(read_posting_lines(spark, path), "lines")
-        terms = rows.groupBy("term").agg(F.max("df").alias("df"))
-        lengths = rows.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"))
+        terms = stage(rows.groupBy("term").agg(F.max("df").alias("df")), "terms")
+        lengths = rows.groupBy("doc_id").agg(F.nullif(F.max("doc_len"), F.lit(0)).alias("doc_len"))
+        positional = not rows.where(F.col("tf").isNotNull()).isEmpty()
+        doc_stats = stage(_with_norms(lengths, rows) if positional else lengths, "doc-stats")
         if stats_path is None:
-            stats = lengths.agg(F.count("*").alias("n_docs"), F.lit(0).cast("long").alias("avg_len"))
+            stats = corpus_stats(doc_stats)
         else:
-            stats = read_corpus_stats(spark, stats_path)
-        stats = stats.select(
-            "n_docs",
-            (F.col("n_docs") * F.col("avg_len")).alias("total_len"),
-            "avg_len",
-            F.col("avg_len").cast("double").alias("avg_len_exact"),
-        )
-        positional = not rows.where(F.col("tf").isNotNull()).isEmpty()
-        lists = rows.drop("df") if positional else rows.select("term", "doc_id")
-        doc_stats = _with_norms(lengths, lists) if positional else lengths
-        return cls(spark, None, doc_stats, stats, terms, **{"postings" if positional else "uniwords": lists})
+            stats = read_corpus_stats(spark, stats_path).select(
+                "n_docs",
+                (F.col("n_docs") * F.col("avg_len")).alias("total_len"),
+                "avg_len",
+                F.col("avg_len").cast("double").alias("avg_len_exact"),
+            )
+        if not positional:
+            return cls(spark, None, doc_stats, stats, terms, uniwords=rows.select("term", "doc_id"))
+        lists = rows.select("term", "doc_id", "tf", "positions").join(doc_stats, "doc_id")
+        return cls(spark, None, doc_stats, stats, terms, postings=stage(lists, "postings"))
 
 
 def build_index(
@@ -169,9 +177,6 @@ def build_index(
     unknown = [kind for kind in kinds if kind not in ARRAYS]
     if unknown or not kinds:
         raise ValueError(f"kinds must be some of {sorted(ARRAYS)}, not {unknown}")
-    if unique_ids is None:
-        unique_ids = docs.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
-
     if partitions:
         docs = docs.repartition(partitions)
     arrays = term_arrays(kept_words(docs, stop_words, include_id_token))
@@ -180,7 +185,11 @@ def build_index(
             arrays = add_array(arrays)
     sizes = Observation()
     arrays = arrays.drop("terms").observe(sizes, *[F.sum(F.size(ARRAY_COLUMNS[k])).alias(k) for k in kinds])
+    if "positional" in kinds:
+        arrays = arrays.select("*", *ops.norm_columns())
     staged = stage(arrays, "documents")
+    if unique_ids is None:
+        unique_ids = staged.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
     corpus_stats(staged, n_bad_records).write.parquet(f"{path}/corpus_stats")
 
     def write(rows: DataFrame, name: str, key: str, kind: str, schema: StructType) -> DataFrame:
@@ -196,25 +205,33 @@ def build_index(
         )
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
+    def write_dictionary(lists: DataFrame, name: str, key: str) -> None:
+        counted = ops.document_frequency(lists, key).withColumn("shard", shard_of(F.col(key), shards))
+        ranges = counted.repartitionByRange("shard", key).sortWithinPartitions("shard", key)
+        ranges.write.partitionBy("shard").parquet(f"{path}/{name}")
+
     lists, merged = None, None
     if "positional" in kinds:
-        rows = ops.explode_entries(staged)
+        rows = ops.explode_entries(staged, NORMS)
         if not unique_ids:
-            rows = merged = stage(ops.merge_postings(rows), "postings")
+            merged = stage(ops.merge_postings(rows), "postings")
+            norms = _with_norms(merged.select("doc_id").distinct(), merged)
+            rows = merged.join(norms, "doc_id")
         lists = write(rows, "postings", "term", "positional", schemas.POSTINGS)
     if "uniword" in kinds:
         rows = ops.explode_keys(staged, "uniwords", "term", unique_ids)
         lists = write(rows, "uniwords", "term", "uniword", schemas.UNIWORDS)
     if "biword" in kinds:
         rows = ops.explode_keys(staged, "biwords", "biword", unique_ids)
-        write(rows, "biwords", "biword", "biword", schemas.BIWORDS)
+        pairs = write(rows, "biwords", "biword", "biword", schemas.BIWORDS)
+        write_dictionary(pairs, "biword_terms", "biword")
     if lists is not None:
-        # One row per term, so shards of the dictionary are of like size.
-        terms = ops.document_frequency(lists).withColumn("shard", shard_of(F.col("term"), shards))
-        terms = terms.repartition("shard").sortWithinPartitions("shard", "term")
-        terms.write.partitionBy("shard").parquet(f"{path}/terms")
+        write_dictionary(lists, "terms", "term")
     _document_stats(staged, merged, "positional" in kinds).write.parquet(f"{path}/doc_stats")
     spark.createDataFrame([(shards, kinds)], "shards int, kinds array<string>").write.parquet(f"{path}/meta")
+    for table in (staged, merged):
+        if table is not None:
+            discard(table)
     return Index.load(spark, path)
 
 
@@ -226,7 +243,7 @@ def _document_stats(staged: DataFrame, merged: DataFrame | None, with_norms: boo
     if merged is not None:
         return _with_norms(staged.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len")), merged)
     if with_norms:
-        return staged.select("doc_id", "doc_len", *ops.norm_columns())
+        return staged.select("doc_id", "doc_len", *NORMS)
     none = F.lit(None).cast("double")
     return staged.groupBy("doc_id").agg(
         F.max("doc_len").alias("doc_len"), F.first(none).alias("norm"), F.first(none).alias("norm_reference")

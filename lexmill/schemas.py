@@ -24,6 +24,8 @@ POSTINGS = T.StructType([
     T.StructField("tf", T.IntegerType()),
     T.StructField("doc_len", T.IntegerType()),
     T.StructField("positions", T.ArrayType(T.IntegerType())),
+    T.StructField("norm", T.DoubleType()),
+    T.StructField("norm_reference", T.DoubleType()),
     T.StructField("shard", T.IntegerType()),
 ])
 
@@ -45,6 +47,12 @@ TERMS = T.StructType([
     T.StructField("shard", T.IntegerType()),
 ])
 
+BIWORD_TERMS = T.StructType([
+    T.StructField("biword", T.StringType()),
+    T.StructField("df", T.LongType()),
+    T.StructField("shard", T.IntegerType()),
+])
+
 DOC_STATS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("doc_len", T.IntegerType()),

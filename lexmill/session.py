@@ -46,7 +46,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the files of a staged table that nothing will read again."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_rows(df: DataFrame, limit: int = SMALL_SIDE_ROWS) -> list[Row] | None:
