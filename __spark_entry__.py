@@ -365,17 +365,23 @@ def hit_lines(spark, sf_dir):
 
 def positional_lines(spark, sf_dir):
     ix = index(spark, sf_dir)
-    return lx.positional_lines(ix.postings, ix.terms, "reference")
+    return lx.positional_lines(ix.postings, ix.terms, "reference").select("term", "line")
+
+
+def positional_lines_parts(spark, sf_dir):
+    """Lines of at most 50 postings: successive parts of each term's sorted list."""
+    ix = index(spark, sf_dir)
+    return lx.positional_lines(ix.postings, ix.terms, "reference", per_line=50)
 
 
 def uniword_lines(spark, sf_dir):
     ix = index(spark, sf_dir)
-    return lx.key_lines(ix.postings.select("term", "doc_id"), ix.terms)
+    return lx.key_lines(ix.postings.select("term", "doc_id"), ix.terms).select("term", "line")
 
 
 def biword_lines(spark, sf_dir):
     ix = index(spark, sf_dir)
-    return lx.key_lines(ix.biwords, ix.biword_terms, "biword")
+    return lx.key_lines(ix.biwords, ix.biword_terms, "biword").select("biword", "line")
 
 
 def posting_lines_round_trip(spark, sf_dir):
@@ -498,6 +504,7 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hydrated_hits": hydrated_hits,
         "hit_lines": hit_lines,
         "positional_lines": positional_lines,
+        "positional_lines_parts": positional_lines_parts,
         "uniword_lines": uniword_lines,
         "biword_lines": biword_lines,
         "posting_lines_round_trip": posting_lines_round_trip,
@@ -632,9 +639,16 @@ _BENCHMARK_CHAINS = r"""
             FROM qs JOIN post USING (term) GROUP BY query_id, doc_id)"""
 
 
-def _positional_line() -> str:
+def _positional_line(per_line: int | None = None) -> str:
     head = "doc_id || ':' || tf || ':' || (CASE WHEN tf = 1 THEN 0 ELSE doc_len END)"
     posting = f"{head} || '<' || replace(positions, ',', ', ') || '>; '"
+    parts = f""",
+      n AS (SELECT *, count(*) OVER (PARTITION BY term) AS df,
+                   (row_number() OVER (PARTITION BY term ORDER BY posting) - 1) // {per_line} AS part FROM p)
+      SELECT term, part, term || ':' || any_value(df) || chr(9) || string_agg(posting, '' ORDER BY posting) AS line
+      FROM n GROUP BY term, part"""
+    if per_line:
+        return f"WITH {_corpus()}, p AS (SELECT term, {posting} AS posting FROM post){parts}"
     return f"""
       WITH {_corpus()}, p AS (SELECT term, {posting} AS posting FROM post)
       SELECT term, term || ':' || count(*) || chr(9) || string_agg(posting, '' ORDER BY posting) AS line
@@ -788,6 +802,7 @@ def search_sql() -> dict[str, str]:
           UNION ALL
           SELECT query_id, doc_id, rank, doc_id::varchar AS line, 'ids' AS style FROM ({_tfidf()})""",
         "positional_lines": _positional_line(),
+        "positional_lines_parts": _positional_line(50),
         "uniword_lines": f"WITH {_corpus()} {_key_line('post', 'term')}",
         "biword_lines": f"WITH {_corpus()}, {_BIWORDS} {_key_line('bi', 'biword')}",
         "posting_lines_round_trip": f"""

@@ -13,16 +13,21 @@ out of a projection and need no shuffle. Two rules keep such plans linear:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as txt
-from lexmill.session import salted, small_rows
+from lexmill.session import salted, small_rows, stage
 
-# A stop list up to this size becomes a hash-set test; a longer one is joined.
+# A stop list of up to so many words becomes a hash-set test. A longer one is measured:
+# up to so many bytes it is broadcast, beyond that it is joined.
 INLINE_STOP_WORDS = 10_000
+BROADCAST_STOP_BYTES = 128 << 20
 
 StopWords = Iterable[str] | DataFrame | None
 
@@ -75,7 +80,11 @@ def kept_words(
     if inline is None:
         if isinstance(stop_words, list):
             stop_words = docs.sparkSession.createDataFrame([(word,) for word in stop_words], "word string")
-        return _without_joined_stop_words(words, stop_words)
+        listed = stage(stop_words.select("word").where("word is not null").distinct(), "stop-words")
+        size = listed.agg(F.coalesce(F.sum(F.octet_length("word") + 8), F.lit(0))).first()[0]
+        if size <= BROADCAST_STOP_BYTES:
+            return _without_broadcast_stop_words(words, listed.toArrow().column("word").combine_chunks())
+        return _without_joined_stop_words(words, listed)
     placed = words.select(
         "doc_id",
         "doc_len",
@@ -90,6 +99,29 @@ def kept_words(
     )
 
 
+def _without_broadcast_stop_words(words: DataFrame, listed: pa.Array) -> DataFrame:
+    """Stop filter by a lookup in a broadcast list, document by document, without a shuffle."""
+    shared = words.sparkSession.sparkContext.broadcast(listed)
+    placed = words.select(
+        "doc_id",
+        "doc_len",
+        F.transform("words", lambda w, i: F.struct((i + 1).alias("pos"), w.alias("raw"))).alias("kept"),
+        F.transform("words", txt.trimmed_token).alias("trimmed"),
+    )
+    schema = placed.drop("trimmed").schema
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.column("kept")
+            stays = pc.invert(pc.is_in(batch.column("trimmed").flatten(), value_set=shared.value))
+            parents = pc.list_parent_indices(kept).filter(stays).to_numpy(zero_copy_only=False)
+            offsets = np.append(0, np.bincount(parents, minlength=batch.num_rows).cumsum())
+            left = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), kept.flatten().filter(stays))
+            yield pa.record_batch([batch.column("doc_id"), batch.column("doc_len"), left], names=schema.names)
+
+    return placed.mapInArrow(drop, schema)
+
+
 def _without_joined_stop_words(words: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Stop filter by an equi-join on the token, for lists of any size."""
     placed = words.select(F.monotonically_increasing_id().alias("doc_key"), "*").select(

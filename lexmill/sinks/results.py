@@ -31,14 +31,18 @@ def write_hits(hits: DataFrame, path: str, style: str = "parquet") -> None:
     hit_lines(hits, style).orderBy("query_id", "rank", "doc_id").select("line").write.text(path)
 
 
-def write_documents(hydrated: DataFrame, path: str) -> None:
+def write_documents(hydrated: DataFrame, path: str, per_file: bool = False) -> None:
     """Write each hit's headline and text under ``path/text``, and the manifest.
 
-    Files are grouped in one folder per document, ``file_name=<name>``.
+    They are a table (file_name, content); with ``per_file``, for few hits, every
+    document is a text file in a folder of its own, ``file_name=<name>``.
     """
     once = hydrated.dropDuplicates(["doc_id"])
     content = F.concat(F.coalesce("headline", F.lit("")), F.lit("\n\n"), F.col("text"))
-    once.select("file_name", content.alias("value")).write.partitionBy("file_name").text(f"{path}/text")
+    if per_file:
+        once.select("file_name", content.alias("value")).write.partitionBy("file_name").text(f"{path}/text")
+    else:
+        once.select("file_name", content.alias("content")).write.parquet(f"{path}/text")
     hydrated.orderBy("query_id", "rank", "doc_id").select("manifest").write.text(f"{path}/manifest")
 
 

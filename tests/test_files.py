@@ -304,7 +304,10 @@ def test_write_hits_and_documents(spark, news, news_index, tmp_path):
     assert [line.split("\t")[0] for line in written("scores")] == written("names")
     with pytest.raises(ValueError):
         lx.write_hits(hits, str(tmp_path / "x"), "pages")
-    lx.write_documents(lx.hydrate(hits, news), str(tmp_path / "out"))
+    lx.write_documents(lx.hydrate(hits, news), str(tmp_path / "table"))
+    stored = spark.read.parquet(str(tmp_path / "table" / "text")).collect()
+    assert ("10newsML.txt", "Gold flat\n\nGold and oil - steady") in [tuple(r) for r in stored]
+    lx.write_documents(lx.hydrate(hits, news), str(tmp_path / "out"), per_file=True)
     text = (tmp_path / "out" / "text" / "file_name=10newsML.txt").glob("part-*")
     assert next(text).read_text() == "Gold flat\n\nGold and oil - steady\n"
     assert written("out/manifest")[0].endswith("newsML.txt;Gold flat")

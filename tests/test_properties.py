@@ -120,6 +120,8 @@ def test_long_stop_list_is_joined(spark, monkeypatch):
     inline = outputs()
     monkeypatch.setattr(tokens, "INLINE_STOP_WORDS", 1)
     assert outputs() == inline
+    monkeypatch.setattr(tokens, "BROADCAST_STOP_BYTES", 0)
+    assert outputs() == inline
     assert inline[1] == [("gold oil", 1), ("oil gold", 1)]
 
 
