@@ -1,12 +1,14 @@
-"""Helpers the operators share: staged tables, hot keys, ranks over sorted ranges."""
+"""Helpers the operators share."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lexmill.session import scratch_path
+from lexmill.operators.ranks import ranked
+from lexmill.session import stage as staged
+
+__all__ = ["HOT_PART", "LOWER", "UPPER", "WORD", "lower_ascii", "partitions", "ranked", "staged", "with_group"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -23,13 +25,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage with files that outlive executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -45,36 +40,3 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: i
     hot, cold = groups.where(F.col(size) > limit), groups.where(F.col(size) <= limit)
     few = F.broadcast(hot)
     return rows.join(few, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
-
-
-def ranked(df: DataFrame, group: list[str], order: list[str], name: str, totals: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` staged with ``rank`` (0, 1, ... within ``group``, in ``order``), without a window over a whole group.
-
-    Rows are dealt into sorted ranges of (group, order); a rank is the row's
-    place in its part of the range plus the rows of the group in earlier ranges.
-    ``order`` must tell rows apart for ranks that do not depend on the run. For
-    each column in ``totals`` there is also ``before_<column>``: its sum over the
-    earlier rows of the group.
-    """
-    keys = [*group, *order]
-    place = staged(
-        df.repartitionByRange(partitions(df.sparkSession), *keys).withColumn("piece", F.spark_partition_id()), name
-    )
-    inside = Window.partitionBy("piece", *group).orderBy(*order)
-    above = inside.rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    parts = place.groupBy("piece", *group).agg(
-        F.count(F.lit(1)).alias("rank_"), *(F.sum(c).alias(f"before_{c}_") for c in totals)
-    )
-    parts = parts.select(
-        "piece", *group, *(F.coalesce(F.sum(c).over(earlier), zero).alias(c) for c in parts.columns if c.endswith("_"))
-    )
-    rows = place.withColumn("rank", F.row_number().over(inside) - F.lit(1).cast("long"))
-    for c in totals:
-        rows = rows.withColumn(f"before_{c}", F.coalesce(F.sum(c).over(above), zero))
-    condition = rows["piece"] == parts["piece"]
-    for c in group:
-        condition = condition & rows[c].eqNullSafe(parts[c])
-    added = [(rows[c] + parts[f"{c}_"]).alias(c) for c in ("rank", *(f"before_{c}" for c in totals))]
-    return rows.join(parts, condition).select(*(rows[c] for c in df.columns), *added)
