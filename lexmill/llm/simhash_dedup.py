@@ -414,12 +414,14 @@ def keep_one(docs: DataFrame, radius: int = 3, words_in_shingle: int = 3) -> Dat
     columns stays. Rows without a doc_id go if their group has a row with one;
     else one of them stays for each fingerprint.
     """
-    mark = "simhash fingerprint"
+    mark, key = "simhash fingerprint", "simhash row"
     marked = staged(docs.withColumn(mark, fingerprint_of(docs["text"], words_in_shingle)), "marked-documents")
     found = grouped(marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("fingerprint")), radius)
-    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    dropped = found.where(~kept).select(F.col("doc_id").alias("id_"), F.col("fingerprint").alias("print_")).distinct()
-    same = marked["doc_id"].eqNullSafe(dropped["id_"]) & (marked[mark] == dropped["print_"])
-    others = [c for c in docs.columns if c != "doc_id"]
-    one = marked.join(dropped, same, "left_anti").groupBy("doc_id", mark).agg(F.min(F.struct(*others)).alias("rest"))
-    return one.select("doc_id", "rest.*").select(*docs.columns)
+
+    def row_key(fingerprint: str) -> Column:
+        """One key without nulls, so that the join and the grouping share one shuffle of the texts."""
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col(fingerprint)).alias(key)
+
+    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(row_key("fingerprint")).distinct()
+    kept = marked.select("*", row_key(mark)).join(dropped, key, "left_anti")
+    return kept.groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
