@@ -109,7 +109,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     sha, again = "exact dedup sha256", "exact dedup again"
     hashes = staged(docs.select(text_sha256(docs["text"]).alias("text_sha256")), "text-hashes")
     marked = docs.withColumn(sha, text_sha256(docs["text"]))
-    marked = staged(marked.withColumn(again, maybe_repeated(hashes, F.col(sha), hashes.count())), "tested-documents")
+    # read and tested twice rather than staged: the texts are the larger cost
+    marked = marked.withColumn(again, maybe_repeated(hashes, F.col(sha), hashes.count()))
     others = [c for c in docs.columns if c != "doc_id"]
     repeats = marked.where(F.col(again))
     kept = repeats.groupBy(sha).agg(F.max(F.struct("doc_id", *others)).alias("row")).select("row.*")
