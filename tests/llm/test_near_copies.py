@@ -1,0 +1,99 @@
+"""The near-dedup stage of the pipeline against brute-force Jaccard over five-word shingles."""
+
+import random
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from llm_cases import SF_DIR
+from test_mixing import plain_copies, plain_targets
+from test_packing import check as check_packing
+from test_simhash_dedup import plain_fingerprint
+
+from lexmill.llm import queries, simhash_dedup
+from lexmill.llm.common import staged
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_near(a, b):
+    return a == b or len(a & b) >= 0.8 * len(a | b) - 1e-12
+
+
+def plain_kept(texts, radius):
+    """The smallest id of each component; links are near pairs within the radius."""
+    items = sorted(texts)
+    sets, prints = [plain_set(texts[i]) for i in items], [plain_fingerprint(texts[i]) for i in items]
+    root = {i: i for i in items}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, i in enumerate(items):
+        for y in range(x):
+            close = (prints[x] ^ prints[y]).bit_count() <= radius or sets[x] == sets[y]
+            if close and plain_near(sets[x], sets[y]):
+                a, b = sorted((find(i), find(items[y])))
+                root[b] = a
+    return sorted({find(i) for i in items})
+
+
+def test_stage_drops_only_near_copies(spark):
+    """Stages up to the last, with the links of brute force instead of those of fingerprints alone."""
+    docs = queries.table(spark, SF_DIR, "documents")
+    outputs = [docs.collect()]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF_DIR), "stage")
+        outputs.append(docs.collect())
+    _, _, single, apart, mixed, pieces = outputs
+    texts = {r["doc_id"]: r["text"] for r in single}
+    kept = plain_kept(texts, corpus_pipeline.RADIUS)
+    assert sorted(r["doc_id"] for r in apart) == kept
+    assert len(kept) < len(texts)
+    sizes = Counter()
+    for r in apart:
+        sizes[r["source"]] += len(r["text"].encode().split())
+    targets = plain_targets(dict(sizes))
+    expected = Counter({r["doc_id"]: plain_copies(r["doc_id"], targets[r["source"]] / sizes[r["source"]]) for r in apart})
+    assert Counter(r["doc_id"] for r in mixed) == +expected
+    assert check_packing(pieces, mixed) <= 0.02 * sum(r["length"] for r in pieces)
+
+
+def family(n, edits, seed):
+    order = random.Random(seed)
+    base = [f"w{order.randrange(4000)}" for _ in range(400)]
+    texts = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(order.randrange(edits)):
+            words[order.randrange(len(words))] = f"x{order.randrange(10**6)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("bucket,ranks", [(4096, simhash_dedup.RANKS), (16, (0, 1, 3, 1 << 62))])
+def test_groups_against_all_pairs(spark, monkeypatch, bucket, ranks):
+    """Families of which some members are near and some are only close in fingerprints, over all rounds."""
+    monkeypatch.setattr(simhash_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(simhash_dedup, "RANKS", ranks)
+    texts = dict(enumerate(family(150, 30, 1) + family(40, 12, 2) + ["", " ", "a b", "A b", "a b a b a b a b a b"], 1))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = sorted(r["doc_id"] for r in simhash_dedup.keep_one(docs, corpus_pipeline.RADIUS).collect())
+    assert found == plain_kept(texts, corpus_pipeline.RADIUS)
+    assert 5 < len(found) < 150
+
+
+def test_sketch_rejects_no_near_copy():
+    for text, other in zip(family(60, 14, 3), reversed(family(60, 14, 3))):
+        a, b = simhash_dedup.shingle_set(text), simhash_dedup.shingle_set(other)
+        shared = len(np.intersect1d(a, b))
+        x, y = (np.frombuffer(simhash_dedup.sketch(s), dtype="<u8") for s in (a, b))
+        apart = int(np.bitwise_count(x ^ y).sum())
+        assert apart <= len(a) + len(b) - 2 * shared
+        assert simhash_dedup.near(shared, len(a), len(b)) == plain_near(plain_set(text), plain_set(other))
