@@ -479,10 +479,11 @@ def ranked_pairs(run, prints, role, nodes, sizes, roots, radius: int, low: int,
     size = np.repeat(lengths, lengths)
     out_i, out_j, open_rows = [], [], []
 
-    def partners(i, j):
+    def fitting(i, j):
+        """Of rows i and j within the radius, where they met and may be near copies."""
         met = ((role[i] & PROBE) & (role[j] << 1)) | ((role[j] & PROBE) & (role[i] << 1))
         fits = near(np.minimum(sizes[i], sizes[j]), sizes[i], sizes[j])
-        return (differing(prints[i], prints[j]) <= radius) & (met > 0) & fits & (nodes[i] != nodes[j])
+        return (met > 0) & fits & (nodes[i] != nodes[j])
 
     def take(i, j, length):
         """Rows i with their partners j, both ways."""
@@ -503,16 +504,18 @@ def ranked_pairs(run, prints, role, nodes, sizes, roots, radius: int, low: int,
         rows = rows[run[rows] == run[rows + k]]
         if not len(rows):
             break
-        keep = rows[partners(rows, rows + k)]
+        keep = rows[differing(prints[rows], prints[rows + k]) <= radius]
+        keep = keep[fitting(keep, keep + k)]
         left += [keep, keep + k]
         right += [keep + k, keep]
     if left:
         i = np.concatenate(left)
         take(i, np.concatenate(right), size[i])
     for start, length in zip(starts[lengths > 64], lengths[lengths > 64]):
-        others = np.arange(start, start + length)
-        for row in others:
-            met = others[partners(np.int64(row), others)]
+        own = prints[start : start + length]
+        for row in range(start, start + length):
+            met = start + np.flatnonzero(differing(own, prints[row]) <= radius)
+            met = met[fitting(row, met)]
             if len(met):
                 take(np.full(len(met), row), met, length)
     none = np.zeros(0, dtype=np.int64)
