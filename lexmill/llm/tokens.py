@@ -3,7 +3,7 @@
 Ids come from the tokenizers library. As one word occurs in many documents, a
 task keeps the ids of the blank-separated chunks it has met, and only asks the
 library about new ones. A text that cannot be cut at blanks without changing
-its ids goes to the library whole.
+its ids, or that holds a special token of the vocabulary, goes to the library whole.
 """
 
 from __future__ import annotations
@@ -41,9 +41,9 @@ def worker_state() -> dict:
 def encoder(path: str, blanks: str) -> "Encoder":
     """The worker's encoder for a vocabulary file, made once per process."""
     made = worker_state()
-    if path not in made:
-        made[path] = Encoder(path, blanks)
-    return made[path]
+    if (path, blanks) not in made:
+        made[path, blanks] = Encoder(path, blanks)
+    return made[path, blanks]
 
 
 class Encoder(dict):
@@ -61,14 +61,16 @@ class Encoder(dict):
         True: regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"),
         False: regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"),
     }
+    # The most common chunks: letters, and perhaps one mark after them that begins no contraction.
+    MARKS = frozenset(".,;:!?)\"")
 
     def __init__(self, path: str, blanks: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.kept = blanks == "kept"
@@ -78,6 +80,8 @@ class Encoder(dict):
         """The ids of one text, without special tokens."""
         if len(self) > REMEMBERED:
             self.clear()
+        if any(token in text for token in self.special):
+            return self._whole(text)
         if not self.kept:
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         if self.RUN.search(text):
@@ -86,6 +90,14 @@ class Encoder(dict):
         return self[first] + b"".join(map(self.__getitem__, [" " + chunk for chunk in rest]))
 
     def __missing__(self, chunk: str) -> bytes:
+        if self.LATIN.fullmatch(chunk):
+            letters = chunk[1:] if chunk[0] == " " else chunk
+            if letters.isalpha():
+                value = self[chunk] = self._word(chunk if self.kept else chunk.lower())
+                return value
+            if letters[-1] in self.MARKS and letters[:-1].isalpha():
+                value = self[chunk] = self[chunk[:-1]] + self[chunk[-1]]
+                return value
         left, line, right = chunk.partition("\n")
         if left and right and not left[-1].isspace() and not right[0].isspace():
             value = self[left] + self[line] + self[right]

@@ -14,7 +14,6 @@ PATH = tokens.vocabulary_path("word_bpe_49k.json")
 def check(rows, docs, length=2048):
     """Every id of every document in exactly one piece, every sequence gapless; the padding in ids."""
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     ids = [(d["doc_id"], np.array(library.encode(d["text"] or "", add_special_tokens=False).ids + [1], "<u4")) for d in docs]
     sequences, pieces = defaultdict(list), defaultdict(list)
     for r in rows:
