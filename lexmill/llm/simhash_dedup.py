@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.common import staged, with_group
 from lexmill.llm.components import components
+from lexmill.session import local_copy, small_rows
 
 BITS = 64
 BLOCK_BITS = 11
@@ -220,9 +221,8 @@ def thresholds(bits: np.ndarray, parts: list[list[int]], tables: list[list[np.nd
 STORED, PROBE = 1, 2
 
 
-def signatures(prints: DataFrame, parts: list[list[int]], tables, radius: int, n: int, more: tuple[str, ...] = ()) -> DataFrame:
-    """(part, value, fingerprint, role, *more): every fingerprint under its own values and those it probes."""
-    more_types = "".join(f", {f.name} {f.dataType.simpleString()}" for f in prints.select(*more).schema)
+def signatures(prints: DataFrame, parts: list[list[int]], tables, radius: int, n: int) -> DataFrame:
+    """(part, value, fingerprint, role): every fingerprint under its own values and those it probes."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,24 +242,26 @@ def signatures(prints: DataFrame, parts: list[list[int]], tables, radius: int, n
                                 own[rows],
                                 role.astype(np.int32),
                             ]
-                            columns += [batch.column(1 + k).slice(at, 4096).to_numpy()[rows] for k in range(len(more))]
-                            names = ["part", "value", "fingerprint", "role", *more]
+                            names = ["part", "value", "fingerprint", "role"]
                             yield pa.record_batch([pa.array(c) for c in columns], names=names)
 
-    schema = "part int, value long, fingerprint long, role int" + more_types
-    return prints.select("fingerprint", *more).mapInArrow(dealt, schema)
+    schema = "part int, value long, fingerprint long, role int"
+    return prints.select("fingerprint").mapInArrow(dealt, schema)
 
 
-def in_buckets(rows: DataFrame, item: str = "fingerprint") -> DataFrame:
+def in_buckets(rows: DataFrame) -> DataFrame:
     """Rows with ``pair``, the place where they are compared: one for most values, and one for every
-    pair of chunks that a row of a large value is in. A value's rows are dealt to chunks by ``item``."""
+    pair of chunks that a row of a large value is in. A value's rows are dealt to chunks by fingerprint."""
     large = (
         rows.groupBy("part", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > BUCKET)
         .select("part", "value", F.ceil(F.col("rows") * 2 / BUCKET).cast("int").alias("chunks"))
     )
-    chunk = F.pmod(F.xxhash64(item), F.col("chunks")).cast("int")
+    few = small_rows(large)
+    if few is not None:
+        large = F.broadcast(local_copy(large, few))
+    chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
     pairs = F.transform(others, lambda c: F.least(c, chunk) * F.col("chunks") + F.greatest(c, chunk))
     return (
@@ -409,264 +411,21 @@ def grouped(rows: DataFrame, radius: int) -> DataFrame:
     )
 
 
-# --- near copies ------------------------------------------------------------------------
-
-# Near copies share four fifths of their distinct five-word shingles or more.
-WORDS_IN_SET = 5
-SKETCH_BITS = 2048
-
-# A round tests the partners of a text from one of these ranks up to the next; the last one is open.
-RANKS = (0, 4, 32, 256, 1 << 62)
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    """The sorted distinct hashes of a text's five-word shingles; a shorter text is one shingle, an empty one none."""
-    import xxhash
-
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype="<u8")
-    if len(words) < WORDS_IN_SET:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(WORDS_IN_SET))))
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(s, 7) for s in shingles], dtype="<u8"))
-
-
-def near(shared, a, b):
-    """Whether sets of ``a`` and ``b`` shingles with ``shared`` in common have a Jaccard likeness of 0.8 or more."""
-    return 9 * shared >= 4 * (a + b)
-
-
-def sketch(hashes: np.ndarray) -> bytes:
-    """For each of ``SKETCH_BITS`` places, whether an odd number of shingles falls on it.
-
-    Two sketches differ in no more bits than there are shingles in just one of the
-    sets, which are at most a ninth of both for near copies: it never rejects one.
-    """
-    odd = np.bincount((hashes % SKETCH_BITS).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def marks_of(text: Column, words_in_shingle: int) -> Column:
-    """The fingerprint of a text, and its shingle set's key (equal sets, equal keys), size and sketch."""
-
-    @F.pandas_udf("fingerprint long, node long, size int, sketch binary")
-    def marked(texts: pd.Series) -> pd.DataFrame:
-        import xxhash
-
-        rows = []
-        for t in texts:
-            hashes = shingle_set(t)
-            node = np.array([xxhash.xxh3_64_intdigest(hashes.tobytes())], dtype="<u8").view("<i8")[0]
-            rows.append((fingerprint(t, words_in_shingle), node, len(hashes), sketch(hashes)))
-        return pd.DataFrame(rows, columns=["fingerprint", "node", "size", "sketch"])
-
-    return marked(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def ranked_pairs(run, prints, role, nodes, sizes, roots, radius: int, low: int, high: int):
-    """(i, j, left): the pairs of rows of one run to test in a round, and the rows with partners past it.
-
-    Partners of a row are those within the radius whose set has a fitting size. They
-    are ranked by distance, equal ones from the row onward in a circle so that none is
-    everybody's first. Those already in one group (``roots``) need no test.
-    """
-    n = len(run)
-    starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-    lengths = np.diff(np.append(starts, n))
-    size = np.repeat(lengths, lengths)
-    out_i, out_j, open_rows = [], [], []
-
-    def fitting(i, j):
-        """Of rows i and j within the radius, where they met and may be near copies."""
-        met = ((role[i] & PROBE) & (role[j] << 1)) | ((role[j] & PROBE) & (role[i] << 1))
-        fits = near(np.minimum(sizes[i], sizes[j]), sizes[i], sizes[j])
-        return (met > 0) & fits & (nodes[i] != nodes[j])
-
-    def take(i, j, length):
-        """Rows i with their partners j, both ways."""
-        order = np.lexsort(((j - i) % length, differing(prints[i], prints[j]), i))
-        i, j = i[order], j[order]
-        first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, dtype=np.int64)
-        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
-        apart = roots[i] != roots[j]
-        now = apart & (rank >= low) & (rank < high)
-        out_i.append(i[now])
-        out_j.append(j[now])
-        open_rows.append(i[apart & (rank >= high)])
-
-    rows = np.flatnonzero(size <= 64)
-    left, right = [], []
-    for k in range(1, 64):
-        rows = rows[rows + k < n]
-        rows = rows[run[rows] == run[rows + k]]
-        if not len(rows):
-            break
-        keep = rows[differing(prints[rows], prints[rows + k]) <= radius]
-        keep = keep[fitting(keep, keep + k)]
-        left += [keep, keep + k]
-        right += [keep + k, keep]
-    if left:
-        i = np.concatenate(left)
-        take(i, np.concatenate(right), size[i])
-    for start, length in zip(starts[lengths > 64], lengths[lengths > 64]):
-        own = prints[start : start + length]
-        for row in range(start, start + length):
-            met = start + np.flatnonzero(differing(own, prints[row]) <= radius)
-            met = met[fitting(row, met)]
-            if len(met):
-                take(np.full(len(met), row), met, length)
-    none = np.zeros(0, dtype=np.int64)
-    return tuple(np.concatenate(c) if c else none for c in (out_i, out_j, open_rows))
-
-
-def candidates(rows: DataFrame, radius: int, low: int, high: int) -> DataFrame:
-    """(a, b, part, value, pair): nodes to test in this round; with a and b null, a bucket that has more for the next."""
-    keys = ["part", "value", "pair"]
-    schema = "a long, b long, part int, value long, pair int"
-
-    def emit(columns: list[np.ndarray]) -> pa.RecordBatch:
-        new = np.ones(len(columns[0]), dtype=bool)
-        new[1:] = np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0)
-        run = np.cumsum(new)
-        prints, role, nodes, sizes, roots = columns[3:]
-        i, j, more = ranked_pairs(run, prints, role, nodes, sizes.astype(np.int64), roots, radius, low, high)
-        pairs = np.unique(np.sort(np.stack([nodes[i], nodes[j]], axis=1), axis=1), axis=0)
-        _, first = np.unique(run[more], return_index=True)
-        buckets = [c[more[first]] for c in columns[:3]]
-        empty, blank = pa.nulls(len(first), pa.int64()), lambda t: pa.nulls(len(pairs), t)
-        made = [pa.concat_arrays([pa.array(pairs[:, k]), empty]) for k in range(2)]
-        made += [pa.concat_arrays([blank(pa.array(c).type), pa.array(c)]) for c in buckets]
-        return pa.record_batch(made, names=["a", "b", *keys])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if held:
-                columns = [np.concatenate(pair) for pair in zip(held, columns)]
-            if not len(columns[0]):
-                continue
-            last = np.flatnonzero(np.any([c != c[-1] for c in columns[:3]], axis=0))
-            cut = last[-1] + 1 if len(last) else 0  # the last bucket may go on in the next batch
-            if cut:
-                yield emit([c[:cut] for c in columns])
-            held = [c[cut:] for c in columns]
-        if held and len(held[0]):
-            yield emit(held)
-
-    return (
-        rows.repartition(*keys)
-        .sortWithinPartitions(*keys, "node")
-        .select(*keys, "fingerprint", "role", "node", "size", "root")
-        .mapInArrow(compared, schema)
-    )
-
-
-def verified(pairs: DataFrame, alone: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs(a, b)`` whose shingle sets have a Jaccard likeness of 0.8 or more, compared shingle by shingle."""
-
-    @F.pandas_udf("boolean")
-    def may_be_near(a: pd.Series, b: pd.Series, size_a: pd.Series, size_b: pd.Series) -> pd.Series:
-        apart = [
-            int(np.bitwise_count(np.frombuffer(x, dtype="<u8") ^ np.frombuffer(y, dtype="<u8")).sum()) for x, y in zip(a, b)
-        ]
-        return 9 * pd.Series(apart, index=a.index, dtype="int64") <= size_a.astype("int64") + size_b.astype("int64")
-
-    @F.pandas_udf("binary")
-    def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
-
-    @F.pandas_udf("boolean")
-    def is_near(a: pd.Series, b: pd.Series) -> pd.Series:
-        found = []
-        for x, y in zip(a, b):
-            x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-            found.append(near(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-        return pd.Series(found, dtype=bool)
-
-    def sides(found: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
-            found = found.join(of.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return found
-
-    likely = sides(pairs, alone, "size", "sketch").where(may_be_near("sketch_a", "sketch_b", "size_a", "size_b"))
-    likely = staged(likely.select("a", "b"), "likely-copies")
-    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = texts.join(needed, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-    shingles = staged(wanted.select("node", sets("text").alias("set")), "shingle-sets")
-    return sides(likely, shingles, "set").where(is_near("set_a", "set_b")).select("a", "b")
-
-
-def near_copies(nodes: DataFrame, alone: DataFrame, texts: DataFrame, radius: int) -> DataFrame:
-    """(node, root) for every node of ``nodes(node, fingerprint, size)`` that has a near copy.
-
-    ``alone(node, size, sketch)`` has each node once, ``texts(node, text)`` once or more.
-
-    Every pair within the radius is tested, unless its texts are in one group already:
-    the first round tests a few partners of each text, later ones those that follow
-    and that are still in another group, only in the buckets that have such.
-    """
-    n, joint = joint_counts(nodes)
-    parts = grouped_bits(n, joint, parts_for(n, radius))
-    tables = block_distances(nodes, parts, radius, n)
-    keyed = staged(signatures(nodes, parts, tables, radius, n, ("node", "size")), "signatures")
-    buckets = in_buckets(keyed, "node").withColumn("root", F.col("node"))
-    links = roots = None
-    for low, high in zip(RANKS, RANKS[1:]):
-        found = staged(candidates(buckets, radius, low, high), "candidates")
-        new = verified(found.where("a is not null").select("a", "b").distinct(), alone, texts)
-        links = staged(new if links is None else links.unionByName(new), "near-copies")
-        roots = components(links)
-        more = found.where("a is null").select("part", "value", "pair").distinct()
-        if more.isEmpty():
-            break
-        open_values = keyed.join(more.select("part", "value").distinct(), ["part", "value"], "left_semi")
-        buckets = (
-            in_buckets(open_values, "node")
-            .join(more, ["part", "value", "pair"], "left_semi")
-            .join(roots, "node", "left")
-            .withColumn("root", F.coalesce("root", "node"))
-        )
-    return roots
-
-
 def keep_one(docs: DataFrame, radius: int = 3, words_in_shingle: int = 3) -> DataFrame:
     """``docs`` without near copies: of each group the row with the smallest doc_id stays, with all its columns.
 
-    Fingerprints within ``radius`` bits are candidates; a link is a candidate pair whose sets of
-    five-word shingles have a Jaccard likeness of 0.8 or more, and linked texts form groups.
-
-    Texts with the same shingles count as one. Of rows that share doc_id and text,
-    the one with the smallest other columns stays. Rows without a doc_id go if
-    their group has a row with one; else one of them stays for each text.
+    Of rows that share doc_id and fingerprint, the one with the smallest other
+    columns stays. Rows without a doc_id go if their group has a row with one;
+    else one of them stays for each fingerprint.
     """
-    marks, key = "simhash marks", "simhash row"
-    marked = staged(docs.withColumn(marks, marks_of(docs["text"], words_in_shingle)), "marked-documents")
-    mark = lambda name: F.col(f"`{marks}`.{name}").alias(name)
-    texts = marked.select(mark("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = marked.select(F.col("doc_id").cast("long").alias("doc_id"), *map(mark, ("node", "fingerprint", "size", "sketch")))
-    # Equal sets may have other numbers of repeats, so that their fingerprints differ; each of them is looked up.
-    nodes = staged(
-        rows.groupBy("node", "fingerprint").agg(F.min("doc_id").alias("first_id"), F.min("size").alias("size"), F.min("sketch").alias("sketch")),
-        "distinct-texts",
-    )
-    alone = nodes.groupBy("node").agg(F.min("first_id").alias("first_id"), F.min("size").alias("size"), F.min("sketch").alias("sketch"))
-    roots = near_copies(nodes, alone, texts, radius)
-    known = alone.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
-    least = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = staged(known.join(least, "root").select("node", "component_id"), "named-texts")
+    mark, key = "simhash fingerprint", "simhash row"
+    marked = staged(docs.withColumn(mark, fingerprint_of(docs["text"], words_in_shingle)), "marked-documents")
+    found = grouped(marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("fingerprint")), radius)
 
-    def row_key(node: Column) -> Column:
+    def row_key(fingerprint: str) -> Column:
         """One key without nulls, so that the join and the grouping share one shuffle of the texts."""
-        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), node).alias(key)
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col(fingerprint)).alias(key)
 
-    dropped = (
-        rows.select("doc_id", "node").distinct().join(named, "node")
-        .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(row_key(F.col("node")))
-    )
-    kept = marked.select(*docs.columns, row_key(F.col(f"`{marks}`.node"))).join(dropped, key, "left_anti")
+    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(row_key("fingerprint")).distinct()
+    kept = marked.select("*", row_key(mark)).join(dropped, key, "left_anti")
     return kept.groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")

@@ -92,6 +92,26 @@ def test_keep_one(odd_documents, no_documents):
     assert simhash_dedup.near_duplicates(no_documents).count() == 0
 
 
+def test_keep_one_of_a_large_cluster(spark, monkeypatch):
+    """Thousands of distinct near copies of one text, over many chunks of one value, beside texts of their own."""
+    monkeypatch.setattr(simhash_dedup, "BUCKET", 64)
+    order = random.Random(11)
+    base = [f"w{order.randrange(900)}" for _ in range(300)]
+    texts = []
+    for i in range(2000):
+        words = list(base)
+        for _ in range(3):
+            words[order.randrange(300)] = f"x{i}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"own{i}a{k}" for k in range(40)) for i in range(50)]
+    prints = [simhash_dedup.fingerprint(t, 3) for t in texts]
+    groups = plain_groups(list(enumerate(prints)), 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash_dedup.keep_one(docs).select("doc_id").collect())
+    assert kept == [i for i, p in enumerate(prints) if groups[p] == i]
+    assert len(kept) < 1000 < len(set(prints))
+
+
 @pytest.mark.parametrize("radius,m", [(0, 1), (3, 1), (3, 2), (3, 3), (3, 4), (8, 5), (8, 9)])
 def test_thresholds_miss_no_pair(radius, m):
     """Every pair within the radius is within the threshold of some part, whatever the counts are."""
