@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import doc_fingerprints, exact_dedup, mixing, packing, secret_scan, simhash_dedup, token_files, tokens, tool_calls, toxicity, url_filter
-from lexmill.llm.common import staged
+from lexmill.llm import (
+    collocations,
+    doc_fingerprints,
+    exact_dedup,
+    hard_negatives,
+    mixing,
+    packing,
+    ppm,
+    secret_scan,
+    simhash_dedup,
+    token_files,
+    tokens,
+    tool_calls,
+    toxicity,
+    unigrams,
+    url_filter,
+)
+from lexmill.llm.common import LOWER, UPPER, staged
 from lexmill.llm.tool_calls import Argument
 from lexmill.llm.url_filter import Rule
 from lexmill.session import scratch_path
@@ -119,6 +135,26 @@ def op10_tool_calls(spark, sf_dir):
     return tool_calls.link(*tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vectors = hard_negatives.usable(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_lm_scores(spark, sf_dir):
+    """PPM and smoothed word probabilities, learnt from the texts whose hashed id leaves no 1."""
+    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER).cast("binary")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold == 1).alias("held_out"), text.alias("text"))
+    model = ppm.train(docs.where("not held_out").select("text"))
+    scored = unigrams.scored(ppm.score(docs.withColumn("training", ~F.col("held_out")), model))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -132,6 +168,9 @@ QUERIES = {
         op8_mixing,
         op9_exact_dedup,
         op10_tool_calls,
+        op11_hard_negatives,
+        op12_lm_scores,
+        op13_collocations,
     )
 }
 
@@ -200,4 +239,48 @@ SQL = {
                        '{"content":' || to_json(text)::varchar || ',"kind":"text","role":"' || role || '"}' AS message
                 FROM conversations WHERE role NOT IN ('user', 'assistant'))
       SELECT * FROM said UNION ALL SELECT * FROM got UNION ALL SELECT * FROM other""",
+    "op11_hard_negatives": """
+      WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                        list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+                 FROM embeddings
+                 WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                   list_dot_product(a.v, b.v)::bigint AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+      p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+      SELECT anchor_id, positive_id,
+             (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::integer AS rank,
+             vec_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+      QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3""",
+    "op13_collocations": r"""
+      WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                                    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+                      FROM documents),
+      w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+      n AS (SELECT lang, sum(len(w))::bigint AS n FROM w GROUP BY lang),
+      places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+      f AS (SELECT lang, w[i:i + m - 1] AS ws, count(*)::bigint AS f
+            FROM places, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+      c AS (SELECT lang, ws, f AS a FROM f WHERE len(ws) > 1 AND f >= 100),
+      inside AS (SELECT lang, ws[i:j] AS ws, max(a) AS longest
+                 FROM (SELECT lang, ws, a, i, unnest(range(i + 1, len(ws) + 1)) AS j
+                       FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM c))
+                 WHERE j - i + 1 < len(ws) GROUP BY ALL),
+      kept AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, ws) WHERE longest IS NULL OR 100 * longest < 100 * a),
+      cuts AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM kept),
+      scored AS (SELECT cuts.lang, cuts.ws, a, k, x.f AS l, y.f AS r, n,
+                        ((1000::hugeint * a * n) // (x.f::hugeint * y.f))::bigint AS score
+                 FROM cuts JOIN n ON n.lang = cuts.lang
+                 JOIN f x ON x.lang = cuts.lang AND x.ws = cuts.ws[1:k]
+                 JOIN f y ON y.lang = cuts.lang AND y.ws = cuts.ws[k + 1:]),
+      low AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, n, score FROM scored
+              QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
+      SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+             phrase, a, l, r, n, score
+      FROM low QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000""",
 }
