@@ -19,6 +19,7 @@ from lexmill.operators.tfidf import tfidf
 from lexmill.operators.tokens import tokenize
 from lexmill.plans.index import Index, build_index
 from lexmill.plans.search import index_archives, search
+from lexmill.sinks.files import write_files
 from lexmill.sinks.posting_lines import key_lines, positional_lines, write_lines
 from lexmill.sinks.results import hit_lines, write_corpus_stats, write_documents, write_hits
 from lexmill.sources.archives import read_zips, unzip
@@ -63,6 +64,7 @@ __all__ = [
     "unzip",
     "write_corpus_stats",
     "write_documents",
+    "write_files",
     "write_hits",
     "write_lines",
 ]

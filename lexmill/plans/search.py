@@ -12,8 +12,8 @@ from lexmill.operators.tfidf import tfidf
 from lexmill.operators.tokens import StopWords
 from lexmill.plans.index import Index, build_index
 from lexmill.session import stage
-from lexmill.sources.archives import list_zips, read_zips
-from lexmill.sources.news import doc_name, parse_archives, parse_entries
+from lexmill.sources.archives import catalogue
+from lexmill.sources.news import doc_name, parse_archives
 
 # Mode numbers of the search form; anything else means BM25.
 BOOLEAN_MODES = (1, "1", "boolean")
@@ -40,24 +40,16 @@ def index_archives(
     path: str,
     stop_words: StopWords = None,
     lenient: bool = False,
-    partitions: int | None = None,
     **options,
 ) -> tuple[Index, DataFrame, DataFrame]:
     """(index, documents, bad_records) of the news archives under ``archives``.
 
-    Archives are unpacked and parsed once, into a staged table. Entries that are
-    no news count as documents of length 0, as corpus statistics expect. Lenient
-    reading records an archive that was cut short as a bad record without an
-    entry name, which does not count.
+    Archives are unpacked and parsed once, into a staged table, in ranges of entries.
+    Entries that are no news count as documents of length 0, as corpus statistics
+    expect. Lenient reading records an archive that was cut short as a bad record
+    without an entry name, which does not count.
     """
-    listed = list_zips(spark, archives)
-    if partitions:  # unpacked entries are spread over more tasks before they are parsed
-        cut = parse_archives(listed, lenient).where("entry_name is null") if lenient else None
-        parsed = parse_entries(read_zips(spark, archives, lenient, partitions))
-        parsed = parsed.unionByName(cut) if lenient else parsed
-    else:
-        parsed = parse_archives(listed, lenient)
-    parsed = stage(parsed, "news")
+    parsed = stage(parse_archives(catalogue(spark, archives, lenient)), "news")
     good = F.col("error").isNull()
     documents = parsed.where(good).select(
         "doc_id", doc_name(F.col("doc_id")).alias("doc_name"), "title", "headline", "text"

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.schemas import PARSED_NEWS
-from lexmill.sources.archives import named_entries
+from lexmill.sources.archives import entries_read, ranged
 
 # Fixed values of the news format.
 ITEM_TAG = "newsitem"
@@ -112,29 +112,26 @@ def parse_entries(entries: DataFrame) -> DataFrame:
     return entries.select("zip_path", "entry_name", "content").mapInPandas(parse, PARSED_NEWS)
 
 
-def parse_archives(archives: DataFrame, lenient: bool = False) -> DataFrame:
-    """Parsed entries of ``archives(path, content)``.
+def parse_archives(entries: DataFrame) -> DataFrame:
+    """Parsed entries of a ``catalogue`` of archives.
 
     Unpacks and parses in one step, so that the unpacked XML never leaves the
-    Python worker.
+    Python worker. Where a lenient reading ended is a record without an entry.
     """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, data in zip(batch["path"], batch["content"]):
-                damage: list[str] = []
-                entries = named_entries(path, data, lenient, damage)
-                while rows := [(path, name, *parse_item(xml)) for name, xml in islice(entries, ENTRIES_PER_BATCH)]:
-                    parsed = pd.DataFrame(rows, columns=PARSED_NEWS.names)
-                    parsed["doc_id"] = parsed["doc_id"].astype("Int64")
-                    yield parsed
-                if damage:  # where a lenient reading ended is a record without an entry
-                    row = (path, None, None, None, None, None, f"archive cut short: {damage[0]}")
-                    parsed = pd.DataFrame([row], columns=PARSED_NEWS.names)
-                    parsed["doc_id"] = parsed["doc_id"].astype("Int64")
-                    yield parsed
-
-    return archives.select("path", "content").mapInPandas(parse, PARSED_NEWS)
+        read = entries_read(batches)
+        while rows := [(path, name, *parse_item(xml)) for path, name, xml in islice(read, ENTRIES_PER_BATCH)]:
+            parsed = pd.DataFrame(rows, columns=PARSED_NEWS.names)
+            parsed["doc_id"] = parsed["doc_id"].astype("Int64")
+            yield parsed
+
+    cut = entries.where("name is null").select(
+        F.col("path").alias("zip_path"),
+        *(F.lit(None).cast(PARSED_NEWS[c].dataType).alias(c) for c in PARSED_NEWS.names[1:-1]),
+        F.concat(F.lit("archive cut short: "), "damage").alias("error"),
+    )
+    return ranged(entries).mapInPandas(parse, PARSED_NEWS).unionByName(cut)
 
 
 def parse_news(entries: DataFrame) -> tuple[DataFrame, DataFrame]:

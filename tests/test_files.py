@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lexmill as lx
+from lexmill.sources import archives
 from lexmill.sources.archives import DamagedArchive, archive_entries
 from lexmill.sources.news import parse_item
 
@@ -70,8 +71,13 @@ def test_damaged_archives():
         list(archive_entries(bytes(flipped)))
     deflated = zipped(entries)
     assert list(archive_entries(deflated[: deflated.index(b"PK\x03\x04", 4) + 40], lenient=True)) == entries[:1]
-    for empty in (b"", zipped([]), b"no archive at all, but some bytes here"):
+    for empty in (zipped([]), b"no archive at all, but some bytes here"):
         assert list(archive_entries(empty)) == []
+    for nothing in (b"", b"P", b"PK", b"PK\x03"):
+        damage = []
+        assert list(archive_entries(nothing, True, damage)) == [] and len(damage) == 1
+        with pytest.raises(DamagedArchive):
+            list(archive_entries(nothing))
 
 
 def test_archives_that_end_too_early():
@@ -117,13 +123,13 @@ def test_cut_archive_is_a_bad_record_that_does_not_count(spark, tmp_path):
     data = zipped([(f"{i}newsML.xml", item(i)) for i in range(3)])
     (tmp_path / "zips").mkdir()
     (tmp_path / "zips" / "cut.zip").write_bytes(data[: data.index(b"PK\x03\x04", 4)])
-    for n, partitions in enumerate((None, 2)):
-        ix, documents, bad = lx.index_archives(
-            spark, str(tmp_path / "zips"), str(tmp_path / f"index{n}"), lenient=True, partitions=partitions
-        )
-        assert documents.count() == 1 and ix.stats.n_docs == 1
-        (record,) = bad.collect()
-        assert record.entry_name is None and record.error.startswith("archive cut short")
+    (tmp_path / "zips" / "nothing.zip").write_bytes(b"PK")
+    ix, documents, bad = lx.index_archives(spark, str(tmp_path / "zips"), str(tmp_path / "index"), lenient=True)
+    assert documents.count() == 1 and ix.stats.n_docs == 1
+    records = bad.collect()
+    assert len(records) == 2 and all(r.entry_name is None and r.error.startswith("archive cut short") for r in records)
+    with pytest.raises(Exception, match="nothing.zip|cut.zip"):
+        lx.read_zips(spark, str(tmp_path / "zips"))
 
 
 def test_large_central_header_is_not_an_entry():
@@ -137,7 +143,7 @@ def test_read_zips(spark, tmp_path):
     for n in range(2):
         (tmp_path / f"{n}.zip").write_bytes(zipped([(f"{n}{i}newsML.xml", item(10 * n + i)) for i in range(3)]))
     (tmp_path / "other.txt").write_text("not an archive")
-    entries = lx.read_zips(spark, str(tmp_path), partitions=4)
+    entries = lx.read_zips(spark, str(tmp_path))
     assert {r.entry_name for r in entries.collect()} == {f"{n}{i}newsML.xml" for n in range(2) for i in range(3)}
     assert entries.select("zip_path").distinct().count() == 2
 
@@ -150,6 +156,64 @@ def test_read_zips_lenient_and_strict(spark, tmp_path):
         lx.read_zips(spark, str(tmp_path)).collect()
 
 
+def test_large_sparse_archive(spark, tmp_path, monkeypatch):
+    """Entries five gigabytes apart, past 32-bit offsets, in ranges of their own; the hole takes no disk."""
+    monkeypatch.setattr(archives, "RANGE_BYTES", 2000)
+    entries = [(f"{i}.xml", bytes([65 + i]) * 1500) for i in range(6)]
+    with zipfile.ZipFile(tmp_path / "sparse.zip", "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+        for i, (name, content) in enumerate(entries):
+            archive.writestr(name, content)
+            if i == 2:
+                archive.start_dir += 5 << 30
+    assert (tmp_path / "sparse.zip").stat().st_size > 5 << 30
+    found = archives.catalogue(spark, str(tmp_path))
+    assert found.select("range").distinct().count() > 2
+    assert [(r.entry_name, bytes(r.content)) for r in lx.read_zips(spark, str(tmp_path)).orderBy("entry_name").collect()] == entries
+    assert lx.read_zips(spark, str(tmp_path), lenient=True).count() == 6
+
+
+def test_lenient_reading_ends_at_the_first_damage_over_all_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "RANGE_BYTES", 700)
+    entries = [(f"{i}", bytes([65 + i]) * 600) for i in range(8)]
+    data = bytearray(zipped(entries, zipfile.ZIP_STORED))
+    for i in (6, 3):
+        data[data.index(entries[i][1]) + 5] ^= 1
+    (tmp_path / "a.zip").write_bytes(bytes(data))
+    (tmp_path / "b.zip").write_bytes(zipped(entries))
+    lenient = lx.read_zips(spark, str(tmp_path), lenient=True).collect()
+    names = {path: sorted(r.entry_name for r in lenient if r.zip_path.endswith(path)) for path in ("a.zip", "b.zip")}
+    assert names == {"a.zip": ["0", "1", "2"], "b.zip": [str(i) for i in range(8)]}
+    (end,) = archives.catalogue(spark, str(tmp_path), lenient=True).where("name is null").collect()
+    assert end.path.endswith("a.zip") and end.number == 3 and "checksum" in end.damage
+    with pytest.raises(Exception, match="a.zip: checksum mismatch"):
+        lx.read_zips(spark, str(tmp_path)).collect()
+
+
+def test_walk_reads_zip64_sizes_of_a_cut_archive():
+    stream = io.BytesIO()
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+        for i in range(3):
+            with archive.open(f"{i}", "w", force_zip64=True) as entry:
+                entry.write(b"wide" * 100)
+    whole = stream.getvalue()
+    damage = []
+    cut = whole[: whole.index(b"PK\x01\x02") - 20]
+    assert [n for n, _ in archive_entries(cut, True, damage)] == ["0", "1"] and "ends inside" in damage[0]
+
+
+def test_files_of_their_own_names(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [("a.txt", b"one"), ("deep/b.txt", b"\x00two"), ("empty.txt", None)]
+    lx.write_files(spark.createDataFrame(rows, "name string, content binary"), path)
+    lx.write_files(spark.createDataFrame([("a.txt", "three")], "name string, content string"), path)
+    found = {p.relative_to(path).as_posix(): p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert found == {"a.txt": b"three", "deep/b.txt": b"\x00two", "empty.txt": b""}
+    for name in ("../x", "/x", None, "_temporary/x"):
+        with pytest.raises(Exception, match="not a file name"):
+            lx.write_files(spark.createDataFrame([(name, b"x")], "name string, content binary"), path)
+    assert not (tmp_path / "out" / "_temporary").exists()
+
+
 def test_parse_item_fields():
     content = item(7, " A &amp; B ", "Head", '<p>one "two"</p> <p>three <![CDATA[<4>]]></p><!-- no -->')
     assert parse_item(content) == (7, " A & B ", "Head", 'one "two" three <4>', None)
