@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import io
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -363,6 +364,50 @@ def hit_lines(spark, sf_dir):
     return names.unionByName(ids)
 
 
+def hit_lines_scores(spark, sf_dir):
+    """Names and scores of BM25 hits, as lines."""
+    hits = rounded(lx.bm25(index(spark, sf_dir), RANKED))
+    return lx.hit_lines(hits.withColumn("score", F.format_string("%.6f", "score")), "scores")
+
+
+def documents_written(spark, sf_dir):
+    """Documents of BM25 hits written as text files, and read again."""
+    path = scratch_path(spark, "results")
+    texts = documents(spark, sf_dir).withColumn("headline", F.split_part("text", F.lit("\n"), F.lit(1)))
+    lx.write_documents(lx.hydrate(lx.bm25(index(spark, sf_dir), RANKED), texts), path, per_file=True)
+    files = spark.read.text(f"{path}/text", wholetext=True)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return files.select(name.alias("file_name"), F.col("value").alias("content"))
+
+
+def biword_from_lines(spark, sf_dir):
+    """Pairs looked up in a biword index kept as text lines."""
+    ix, path = index(spark, sf_dir), scratch_path(spark, "biword-lines")
+    lx.write_lines(lx.key_lines(ix.biwords, ix.biword_terms, "biword"), path, "biword")
+    return lx.lookup_biwords(lx.Index.from_lines(spark, path, kind="biword"), BIWORDS)
+
+
+def catalog_index(spark, sf_dir):
+    """BM25 over tables of the catalog, bucketed by term."""
+    prefix = f"lexmill_{uuid.uuid4().hex}"
+    index(spark, sf_dir).save_tables(prefix, SHARDS)
+    return rounded(lx.bm25(lx.Index.from_tables(spark, prefix), RANKED))
+
+
+def saved_shared_ids(spark, sf_dir):
+    """The postings of an index in which two documents share an id, and all others have their own."""
+    docs = documents(spark, sf_dir).withColumn("doc_id", F.when(F.col("doc_id") == 1, 0).otherwise(F.col("doc_id")))
+    ix = lx.build_index(docs, scratch_path(spark, "shared-index"), STOP_WORDS, ("positional",), shards=SHARDS)
+    return ix.postings.select("term", "doc_id", "tf", "doc_len", listed())
+
+
+def boolean_long_chain(spark, sf_dir):
+    """One chain of every word of the benchmark: thousands of slots."""
+    words = benchmark_chains(spark, sf_dir).orderBy("query_id")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("query_id", "q"))), lambda r: r.q), " OR ")
+    return lx.boolean_search(index(spark, sf_dir), words.groupBy().agg(F.lit(0).cast("long").alias("query_id"), joined.alias("q")))
+
+
 def positional_lines(spark, sf_dir):
     ix = index(spark, sf_dir)
     return lx.positional_lines(ix.postings, ix.terms, "reference").select("term", "line")
@@ -406,6 +451,43 @@ def news_from_zips(spark, sf_dir):
     return lx.parse_news(lx.unzip(archives))[0]
 
 
+def archive_files(spark: SparkSession, sf_dir: str, headlines: bool = True, cut: bool = False) -> str:
+    """The folder of news archives, one for every 50 ids, streamed with 64-bit sizes; cut short inside the last entry, if so wished."""
+
+    def zip_up(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for row in batch.sort_values("doc_id").itertuples():
+                with archive.open(row.entry_name, "w", force_zip64=True) as entry:
+                    entry.write(bytes(row.content))
+                last = archive.infolist()[-1].header_offset
+        content = buffer.getvalue()
+        return pd.DataFrame({"name": [f"part-{key[0]}/news.zip"], "content": [content[: last + 45] if cut else content]})
+
+    path = scratch_path(spark, "archives")
+    doc_id = F.regexp_extract("entry_name", r"^(\d+)", 1).cast("long")
+    entries = news_entries(spark, sf_dir, headlines).select(doc_id.alias("doc_id"), "entry_name", "content")
+    batches = entries.groupBy(F.floor(F.col("doc_id") / 50).alias("batch"))
+    lx.write_files(batches.applyInPandas(zip_up, "name string, content binary"), path)
+    return path
+
+
+def zip_strict_zip64(spark, sf_dir):
+    """News read strictly, by ranges of entries, from archives on disk."""
+    return lx.parse_news(lx.read_zips(spark, archive_files(spark, sf_dir)))[0]
+
+
+def zip_lenient_cut(spark, sf_dir):
+    """Archives that end inside their last entry give the entries before it."""
+    return lx.parse_news(lx.read_zips(spark, archive_files(spark, sf_dir, cut=True), lenient=True))[0]
+
+
+def archive_corpus_stats(spark, sf_dir):
+    """Statistics of an index built from archives; entries without a headline are bad records, which count in N."""
+    ix, _, _ = lx.index_archives(spark, archive_files(spark, sf_dir, headlines=False), scratch_path(spark, "news-index"), STOP_WORDS)
+    return rounded_stats(ix.corpus_stats)
+
+
 def news_bad_records(spark, sf_dir):
     """Documents without a label have no headline here, and become bad records."""
     bad = parse_entries(news_entries(spark, sf_dir, headlines=False)).where(F.col("error").isNotNull())
@@ -417,12 +499,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return lx.bm25(index(spark, "/root/testdata/sf0.001"), RANKED)
 
 
+# What may have been left out: the operators for training data, and the pipeline over them.
+OPTIONAL = ("lexmill.llm", "corpus_pipeline")
+
+
 def optional(module: str):
-    """A module that may have been left out; what it needs itself must be there."""
+    """A module, or None if it or the operators it builds on were left out; anything else it needs must be there."""
     try:
         return importlib.import_module(module)
     except ModuleNotFoundError as error:
-        if error.name is None or not module.startswith(error.name):
+        if error.name not in OPTIONAL:
             raise
         return None
 
@@ -453,6 +539,9 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "news_body_pages": news_body_pages,
         "news_from_zips": news_from_zips,
         "news_bad_records": news_bad_records,
+        "zip_strict_zip64": zip_strict_zip64,
+        "zip_lenient_cut": zip_lenient_cut,
+        "archive_corpus_stats": archive_corpus_stats,
         "positional_index": positional_index,
         "positional_index_id_token": positional_index_id_token,
         "positional_index_shared_ids": positional_index_shared_ids,
@@ -503,6 +592,12 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_modes": search_modes,
         "hydrated_hits": hydrated_hits,
         "hit_lines": hit_lines,
+        "hit_lines_scores": hit_lines_scores,
+        "documents_written": documents_written,
+        "biword_from_lines": biword_from_lines,
+        "catalog_index": catalog_index,
+        "saved_shared_ids": saved_shared_ids,
+        "boolean_long_chain": boolean_long_chain,
         "positional_lines": positional_lines,
         "positional_lines_parts": positional_lines_parts,
         "uniword_lines": uniword_lines,
@@ -664,6 +759,8 @@ def _key_line(rows: str, key: str) -> str:
 _POST = "SELECT term, doc_id, tf, doc_len, positions FROM post"
 _STATS = "SELECT n_docs, total_len, avg_len, round(avg_len_exact, 6) AS avg_len_exact FROM st"
 _FIRST_LINE = "split_part(text, chr(10), 1)"
+_NEWS_BODY = r"""lower(replace(trim(split_part(text, chr(10), 1), E' \t\n\r'), '"', '') || ' '
+                          || replace(trim(text, E' \t\n\r'), '"', ''))"""
 _ID_TOKEN = "'itemid_' || doc_id || ' ' || lower(text)"
 _VOCABULARY = r"""SELECT unnest(list_filter(regexp_split_to_array(lower(text), '[ \t\n!,"]+'),
                                             lambda x: regexp_matches(x, '\w'))) FROM conversations"""
@@ -680,10 +777,10 @@ def _with_mode(sql: str, mode: str) -> str:
     return f"SELECT query_id, doc_id, doc_name, score, rank, '{mode}' AS mode FROM ({sql})"
 
 
-def _shared_ids() -> str:
+def _shared_ids(source: str, doc_id: str, united: str) -> str:
     return f"""
-      WITH {_corpus(source="conversations", doc_id="conv_id * 100000 + turn")},
-      p AS (SELECT term, doc_id // 100000 AS doc_id, doc_len, unnest(string_split(positions, ','))::integer AS pos
+      WITH {_corpus(source=source, doc_id=doc_id)},
+      p AS (SELECT term, {united} AS doc_id, doc_len, unnest(string_split(positions, ','))::integer AS pos
             FROM post)
       SELECT term, doc_id, count(*)::integer AS tf, max(doc_len) AS doc_len,
              string_agg(pos::varchar, ',' ORDER BY pos) AS positions
@@ -702,12 +799,25 @@ def search_sql() -> dict[str, str]:
         "news_from_zips": f"""
           SELECT doc_id, {_NAME} AS doc_name, {_FIRST_LINE} AS title, coalesce(quality::varchar, 'none') AS headline, text
           FROM documents LEFT JOIN labels USING (doc_id)""",
+        "zip_strict_zip64": f"""
+          SELECT doc_id, {_NAME} AS doc_name, {_FIRST_LINE} AS title, coalesce(quality::varchar, 'none') AS headline, text
+          FROM documents LEFT JOIN labels USING (doc_id)""",
+        "zip_lenient_cut": f"""
+          SELECT doc_id, {_NAME} AS doc_name, {_FIRST_LINE} AS title, coalesce(quality::varchar, 'none') AS headline, text
+          FROM documents LEFT JOIN labels USING (doc_id)
+          WHERE doc_id NOT IN (SELECT max(doc_id) FROM documents GROUP BY doc_id // 50)""",
+        "archive_corpus_stats": rf"""
+          WITH {_corpus(source="good", body=_NEWS_BODY)},
+          g AS (SELECT (SELECT count(*) FROM documents) AS n_docs, coalesce(sum(doc_len), 0)::bigint AS total_len FROM b)
+          SELECT n_docs, total_len, (total_len // n_docs)::bigint AS avg_len, round(total_len::double / n_docs, 6) AS avg_len_exact
+          FROM g""".replace("WITH", "WITH good AS (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),", 1),
         "news_bad_records": f"""
           SELECT {_NAME} AS entry_name, 'missing headline' AS error
           FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
         "positional_index": f"WITH {_corpus()} {_POST}",
         "positional_index_id_token": f"WITH {_corpus(body=_ID_TOKEN)} {_POST}",
-        "positional_index_shared_ids": _shared_ids(),
+        "positional_index_shared_ids": _shared_ids("conversations", "conv_id * 100000 + turn", "doc_id // 100000"),
+        "saved_shared_ids": _shared_ids("documents", "doc_id", "CASE WHEN doc_id = 1 THEN 0 ELSE doc_id END"),
         "saved_positional_index": f"WITH {_corpus()} {_POST}",
         "uniword_index": f"WITH {_corpus()} SELECT DISTINCT term, doc_id FROM tok",
         "term_df": f"WITH {_corpus()} SELECT term, count(DISTINCT doc_id) AS df FROM tok GROUP BY term",
@@ -801,6 +911,31 @@ def search_sql() -> dict[str, str]:
           SELECT query_id, doc_id, NULL::integer AS rank, doc_name AS line, 'names' AS style FROM ({_boolean(CHAIN)})
           UNION ALL
           SELECT query_id, doc_id, rank, doc_id::varchar AS line, 'ids' AS style FROM ({_tfidf()})""",
+        "hit_lines_scores": f"""
+          SELECT query_id, doc_id, rank, doc_name || chr(9) || format('{{:.6f}}', score) AS line FROM ({hits})""",
+        "documents_written": f"""
+          SELECT DISTINCT replace(doc_name, 'xml', 'txt') AS file_name,
+                 {_FIRST_LINE} || chr(10) || chr(10) || text AS content
+          FROM ({hits}) h JOIN documents d ON h.doc_id = d.doc_id""",
+        "biword_from_lines": f"""
+          WITH {_corpus()}, {_BIWORDS}
+          SELECT biword, count(*) OVER (PARTITION BY biword) AS df, doc_id FROM bi
+          WHERE biword IN ({_strings([t.lower() for t in BIWORDS])})""",
+        "catalog_index": hits,
+        "boolean_long_chain": f"""
+          WITH {_corpus()},
+          qw AS (SELECT item_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS slot
+                 FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(regexp_replace(text, '[^\\w\\s]', '', 'g')), '\\s+'),
+                                                   lambda x: x NOT IN ('', 'and', 'or', 'andnot')) AS w FROM benchmark)),
+          qs AS (SELECT term, CASE WHEN slot = 0 OR slot % 3 = 2 THEN 'OR' WHEN slot % 3 = 1 THEN 'AND' ELSE 'ANDNOT' END AS op,
+                        row_number() OVER (ORDER BY item_id, slot) AS slot FROM qw),
+          ands AS (SELECT list(slot) AS slots FROM qs WHERE op = 'AND'),
+          m AS (SELECT doc_id, list(slot) AS held, coalesce(max(slot) FILTER (op = 'OR'), -1) AS decides_in,
+                       coalesce(max(slot) FILTER (op = 'ANDNOT'), -1) AS held_out
+                FROM qs JOIN post USING (term) GROUP BY doc_id)
+          SELECT 0::bigint AS query_id, doc_id, {_NAME} AS doc_name FROM m, ands
+          WHERE decides_in > held_out
+            AND decides_in > coalesce(list_max(list_filter(slots, lambda s: s > decides_in AND NOT list_contains(held, s))), -1)""",
         "positional_lines": _positional_line(),
         "positional_lines_parts": _positional_line(50),
         "uniword_lines": f"WITH {_corpus()} {_key_line('post', 'term')}",

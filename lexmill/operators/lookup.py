@@ -24,6 +24,7 @@ def lookup(index, terms: list[str] | DataFrame) -> DataFrame:
     ``terms`` is a list or ``DataFrame(term)``. Matching ignores case. A uniword
     index knows neither tf nor doc_len; both are null then.
     """
+    index.need_terms()
     found = with_df(index, TermSide(_wanted(index, terms), index.shards))
     if index.postings is not None:
         return found.join(index.postings).select("term", "df", "doc_id", "tf", "doc_len")
@@ -42,6 +43,7 @@ def lookup_biwords(index, biwords: list[str] | DataFrame) -> DataFrame:
 
 def matched_terms(index, queries) -> DataFrame:
     """(query_id, n_matched): distinct query terms the dictionary holds."""
+    index.need_terms()
     terms = query_terms(as_queries(index.spark, queries)).select("query_id", "term").distinct()
     side = TermSide(terms, index.shards)
     return side.join(index.terms).groupBy("query_id").agg(F.count("*").alias("n_matched"))

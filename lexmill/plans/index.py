@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,7 +16,7 @@ from lexmill.operators import postings as ops
 from lexmill.operators.queries import shard_of
 from lexmill.operators.stats import corpus_stats, document_norms
 from lexmill.operators.tokens import StopWords, kept_words, term_arrays
-from lexmill.session import discard, stage
+from lexmill.session import discard, local_copy, small_rows, stage
 from lexmill.sources.lines import read_corpus_stats
 from lexmill.sources.posting_lines import read_posting_lines
 
@@ -54,9 +54,14 @@ class Index:
     @property
     def doc_lists(self) -> DataFrame:
         """(term, doc_id) from whichever index holds it."""
+        self.need_terms()
         table = self.postings if self.postings is not None else self.uniwords
         return table.select("term", "doc_id", *(["shard"] if self.shards else []))
 
+    def need_terms(self) -> None:
+        if self.terms is None:
+            raise ValueError("this needs a positional or uniword index")
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Index:
         """Open the index that ``build_index`` wrote to ``path``."""
@@ -121,8 +126,8 @@ class Index:
         )
 
     @classmethod
-    def from_lines(cls, spark: SparkSession, path: str, stats_path: str | None = None) -> Index:
-        """Open a positional or uniword index kept as posting lines.
+    def from_lines(cls, spark: SparkSession, path: str, stats_path: str | None = None, kind: str | None = None) -> Index:
+        """Open an index kept as posting lines: a positional or uniword one, or with ``kind="biword"`` one of pairs.
 
         Everything is decoded and derived once, into staged tables. Lines of the
         reference form give length 0 to documents that hold a term once; the
@@ -131,26 +136,36 @@ class Index:
         those of the documents in the postings. Lines that cannot be decoded are
         left out (``bad_posting_lines`` has them).
         """
+        if kind not in (None, "biword"):
+            raise ValueError(f"kind must be None or 'biword', not {kind!r}")
         rows = stage(read_posting_lines(spark, path), "lines")
+        if kind == "biword":
+            pairs = rows.select(F.col("term").alias("biword"), "doc_id")
+            pair_terms = stage(rows.groupBy(F.col("term").alias("biword")).agg(F.max("df").alias("df")), "biword-terms")
+            lengths = stage(rows.select("doc_id").distinct().withColumn("doc_len", F.lit(None).cast("int")), "doc-stats")
+            stats = corpus_stats(lengths) if stats_path is None else _stats_of(spark, stats_path)
+            return cls(spark, None, lengths, stats, biwords=pairs, biword_terms=pair_terms)
         terms = stage(rows.groupBy("term").agg(F.max("df").alias("df")), "terms")
         lengths = rows.groupBy("doc_id").agg(F.nullif(F.max("doc_len"), F.lit(0)).alias("doc_len"))
         positional = not rows.where(F.col("tf").isNotNull()).isEmpty()
         doc_stats = stage(_with_norms(lengths, rows) if positional else lengths, "doc-stats")
-        if stats_path is None:
-            stats = corpus_stats(doc_stats)
-        else:
-            stats = read_corpus_stats(spark, stats_path).select(
-                "n_docs",
-                (F.col("n_docs") * F.col("avg_len")).alias("total_len"),
-                "avg_len",
-                F.col("avg_len").cast("double").alias("avg_len_exact"),
-            )
+        stats = corpus_stats(doc_stats) if stats_path is None else _stats_of(spark, stats_path)
         if not positional:
             return cls(spark, None, doc_stats, stats, terms, uniwords=rows.select("term", "doc_id"))
         lists = rows.select("term", "doc_id", "tf", "positions").join(doc_stats, "doc_id")
         return cls(spark, None, doc_stats, stats, terms, postings=stage(lists, "postings"))
 
 
+def _stats_of(spark: SparkSession, path: str) -> DataFrame:
+    """Corpus statistics from a file of them."""
+    return read_corpus_stats(spark, path).select(
+        "n_docs",
+        (F.col("n_docs") * F.col("avg_len")).alias("total_len"),
+        "avg_len",
+        F.col("avg_len").cast("double").alias("avg_len_exact"),
+    )
+
+
 def build_index(
     docs: DataFrame,
     path: str,
@@ -167,10 +182,11 @@ def build_index(
 
     The text is read once, into a staged table with the arrays of all kinds per
     document. All tables come from there. Term tables are laid out by ranges of
-    (shard, term, doc_id): files are of like size whatever the skew, sorted by
-    term, and in one folder per shard. ``partitions`` spreads a corpus of few
-    large files over more tasks first. Documents that share an id are united;
-    ``unique_ids`` tells that there are none, or some, and saves the look.
+    (shard, term): files are of like size whatever the skew, sorted by term, and in
+    one folder per shard; see ``file_ranges``. ``partitions`` spreads a corpus of few
+    large files over more tasks first. Documents that share an id are united, all
+    others stay as they are; ``unique_ids=True`` tells that there are none, and saves
+    the look.
     """
     spark = docs.sparkSession
     kinds = sorted(set(kinds))
@@ -183,23 +199,20 @@ def build_index(
     for kind, add_array in ARRAYS.items():
         if kind in kinds:
             arrays = add_array(arrays)
-    sizes = Observation()
-    arrays = arrays.drop("terms").observe(sizes, *[F.sum(F.size(ARRAY_COLUMNS[k])).alias(k) for k in kinds])
+    arrays = arrays.drop("terms")
     if "positional" in kinds:
         arrays = arrays.select("*", *ops.norm_columns())
     staged = stage(arrays, "documents")
-    if unique_ids is None:
-        unique_ids = staged.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty()
+    alone, shared = (staged, None) if unique_ids else _by_repeated_ids(staged)
     corpus_stats(staged, n_bad_records).write.parquet(f"{path}/corpus_stats")
 
-    def write(rows: DataFrame, name: str, key: str, kind: str, schema: StructType) -> DataFrame:
-        order = ["shard", key, "doc_id"]
-        n_rows = sizes.get[kind] or 0
-        files = max(-(-n_rows // rows_per_file), min(shards, spark.sparkContext.defaultParallelism))
+    def write(rows: DataFrame, name: str, key: str, keys: DataFrame, schema: StructType) -> DataFrame:
+        files, with_file = file_ranges(keys, key, shards, rows_per_file)
         (
-            rows.withColumn("shard", shard_of(F.col(key), shards))
-            .repartitionByRange(files, *order)
-            .sortWithinPartitions(*order)
+            with_file(rows.withColumn("shard", shard_of(F.col(key), shards)))
+            .repartitionById(files, "file")
+            .drop("file")
+            .sortWithinPartitions("shard", key, "doc_id")
             .write.partitionBy("shard")
             .parquet(f"{path}/{name}")
         )
@@ -207,27 +220,34 @@ def build_index(
 
     def write_dictionary(lists: DataFrame, name: str, key: str) -> None:
         counted = ops.document_frequency(lists, key).withColumn("shard", shard_of(F.col(key), shards))
-        ranges = counted.repartitionByRange("shard", key).sortWithinPartitions("shard", key)
-        ranges.write.partitionBy("shard").parquet(f"{path}/{name}")
+        spread = counted.repartition("shard") if shards >= spark.sparkContext.defaultParallelism else counted.repartition("shard", key)
+        spread.sortWithinPartitions("shard", key).write.partitionBy("shard").parquet(f"{path}/{name}")
+
+    def keys_of(column: str, key: str, field: str | None = None) -> DataFrame:
+        """One row for each posting a document of its own makes; documents that share an id make no more."""
+        listed = F.transform(column, lambda e: e[field]) if field else F.col(column)
+        return staged.select(F.explode_outer(listed).alias(key)).where(F.col(key).isNotNull())
+
+    def rows_of(column: str, key: str) -> DataFrame:
+        rows = ops.explode_keys(alone, column, key)
+        return rows if shared is None else rows.unionByName(ops.explode_keys(shared, column, key, unique_ids=False))
 
     lists, merged = None, None
     if "positional" in kinds:
-        rows = ops.explode_entries(staged, NORMS)
-        if not unique_ids:
-            merged = stage(ops.merge_postings(rows), "postings")
+        rows = ops.explode_entries(alone, NORMS)
+        if shared is not None:
+            merged = stage(ops.merge_postings(ops.explode_entries(shared)), "postings")
             norms = _with_norms(merged.select("doc_id").distinct(), merged)
-            rows = merged.join(norms, "doc_id")
-        lists = write(rows, "postings", "term", "positional", schemas.POSTINGS)
+            rows = rows.unionByName(merged.join(norms, "doc_id"))
+        lists = write(rows, "postings", "term", keys_of("entries", "term", "term"), schemas.POSTINGS)
     if "uniword" in kinds:
-        rows = ops.explode_keys(staged, "uniwords", "term", unique_ids)
-        lists = write(rows, "uniwords", "term", "uniword", schemas.UNIWORDS)
+        lists = write(rows_of("uniwords", "term"), "uniwords", "term", keys_of("uniwords", "term"), schemas.UNIWORDS)
     if "biword" in kinds:
-        rows = ops.explode_keys(staged, "biwords", "biword", unique_ids)
-        pairs = write(rows, "biwords", "biword", "biword", schemas.BIWORDS)
+        pairs = write(rows_of("biwords", "biword"), "biwords", "biword", keys_of("biwords", "biword"), schemas.BIWORDS)
         write_dictionary(pairs, "biword_terms", "biword")
     if lists is not None:
         write_dictionary(lists, "terms", "term")
-    _document_stats(staged, merged, "positional" in kinds).write.parquet(f"{path}/doc_stats")
+    _document_stats(alone, shared, merged, "positional" in kinds).write.parquet(f"{path}/doc_stats")
     spark.createDataFrame([(shards, kinds)], "shards int, kinds array<string>").write.parquet(f"{path}/meta")
     for table in (staged, merged):
         if table is not None:
@@ -235,19 +255,91 @@ def build_index(
     return Index.load(spark, path)
 
 
-def _document_stats(staged: DataFrame, merged: DataFrame | None, with_norms: bool) -> DataFrame:
+def file_ranges(
+    keys: DataFrame, key: str, shards: int, rows_per_file: int
+) -> tuple[int, Callable[[DataFrame], DataFrame]]:
+    """(files, with_file): the number of files, and what adds to rows(shard, <key>, doc_id) the one they belong to.
+
+    The rows of a shard are counted. Small shards share a file; a large one is cut at
+    terms, by the counts of its terms, so that no file has many more than
+    ``rows_per_file`` rows. A term with more rows than that has files of its own, to
+    which its documents are dealt. Nothing is sampled.
+    """
+    spark = keys.sparkSession
+    sharded = keys.withColumn("shard", shard_of(F.col(key), shards))
+    sizes = {row.shard: row.n for row in sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = min(rows_per_file, max(1, -(-sum(sizes.values()) // min(shards, spark.sparkContext.defaultParallelism))))
+    large = [shard for shard, n in sizes.items() if n > rows_per_file]
+    cuts: dict[int, list[Row]] = {shard: [] for shard in large}
+    if large:
+        counted = sharded.where(F.col("shard").isin(large)).groupBy("shard", key).agg(F.count(F.lit(1)).alias("n"))
+        parts = F.ceil(F.col("n") / rows_per_file)
+        before = F.sum("n").over(Window.partitionBy("shard").orderBy(key)) - F.col("n")
+        # a range ends before the term that would begin in the next one, and around each term of several files
+        ranged = counted.select("shard", key, parts.alias("parts"), F.floor(before / rows_per_file).alias("range"))
+        last = Window.partitionBy("shard").orderBy(key)
+        begins = (
+            F.lag("range").over(last).isNull()
+            | (F.lag("range").over(last) < F.col("range"))
+            | (F.col("parts") > 1)
+            | (F.lag("parts").over(last) > 1)
+        )
+        for row in ranged.select("*", begins.alias("begins")).where("begins").orderBy("shard", key).collect():
+            cuts[row.shard].append(row)
+    files, held, layout = 0, 0, []
+    for shard in range(shards):
+        if shard in cuts:
+            files += held > 0
+            held = 0
+            starts = []
+            for row in cuts[shard]:
+                starts.append((row[key], files, int(row.parts)))
+                files += int(row.parts)
+            layout.append((shard, starts))
+        else:
+            n = sizes.get(shard, 0)
+            if held and held + n > share:
+                files, held = files + 1, 0
+            held += n
+            layout.append((shard, [("", files, 1)]))
+    files += held > 0
+    ranges = spark.createDataFrame(layout, "shard int, starts array<struct<start:string,file:int,parts:int>>")
+
+    def with_file(rows: DataFrame) -> DataFrame:
+        own = F.element_at(F.filter("starts", lambda s: s.start <= F.col(key)), -1)
+        found = F.when(F.size("starts") == 1, F.get("starts", F.lit(0))).otherwise(own)
+        joined = rows.join(F.broadcast(ranges), "shard").withColumn("range", found)
+        part = F.when(F.col("range.parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("range.parts"))).otherwise(F.lit(0))
+        return joined.withColumn("file", F.col("range.file") + part.cast("int")).drop("starts", "range")
+
+    return max(files, 1), with_file
+
+
+def _by_repeated_ids(staged: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The documents whose ids are their own, and those that share one, if any."""
+    repeated = stage(staged.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        discard(repeated)
+        return staged, None
+    few = small_rows(repeated)
+    ids = repeated if few is None else F.broadcast(local_copy(repeated, few))
+    same = staged["doc_id"].eqNullSafe(ids["doc_id"])
+    return staged.join(ids, same, "left_anti"), staged.join(ids, same, "left_semi")
+
+
+def _document_stats(alone: DataFrame, shared: DataFrame | None, merged: DataFrame | None, with_norms: bool) -> DataFrame:
     """(doc_id, doc_len, norm, norm_reference); norms need a positional index.
 
-    ``merged`` holds the postings of documents whose ids are not unique.
+    ``shared`` are the documents that share ids, ``merged`` their postings.
     """
-    if merged is not None:
-        return _with_norms(staged.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len")), merged)
-    if with_norms:
-        return staged.select("doc_id", "doc_len", *NORMS)
     none = F.lit(None).cast("double")
-    return staged.groupBy("doc_id").agg(
-        F.max("doc_len").alias("doc_len"), F.first(none).alias("norm"), F.first(none).alias("norm_reference")
-    )
+    norms = NORMS if with_norms else [none.alias(n) for n in NORMS]
+    stats = alone.select("doc_id", "doc_len", *norms)
+    if shared is None:
+        return stats
+    lengths = shared.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"))
+    united = _with_norms(lengths, merged) if with_norms else lengths.select("doc_id", "doc_len", *norms)
+    return stats.unionByName(united)
 
 
 def _with_norms(lengths: DataFrame, postings: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.session import local_copy, small_rows
+from lexmill.sinks.files import write_files
+
 
 def hit_lines(hits: DataFrame, style: str) -> DataFrame:
     """(query_id, rank, line) of hits.
@@ -24,26 +27,34 @@ def hit_lines(hits: DataFrame, style: str) -> DataFrame:
 
 
 def write_hits(hits: DataFrame, path: str, style: str = "parquet") -> None:
-    """Write hits as Parquet, or as text lines in rank order."""
+    """Write hits as Parquet, or as text lines: in rank order, the queries one after another."""
     if style == "parquet":
         hits.write.parquet(path)
         return
-    hit_lines(hits, style).orderBy("query_id", "rank", "doc_id").select("line").write.text(path)
+    _in_rank_order(hit_lines(hits, style), "line").write.text(path)
+
+
+def _in_rank_order(lines: DataFrame, column: str) -> DataFrame:
+    """The lines sorted by query and rank. Few rows, counted first, are sorted as they are; others by ranges."""
+    few = small_rows(lines)
+    rows = lines if few is None else local_copy(lines, few).coalesce(1)
+    order = ["query_id", "rank", "doc_id"]
+    return (rows.orderBy(*order) if few is None else rows.sortWithinPartitions(*order)).select(column)
 
 
 def write_documents(hydrated: DataFrame, path: str, per_file: bool = False) -> None:
     """Write each hit's headline and text under ``path/text``, and the manifest.
 
-    They are a table (file_name, content); with ``per_file``, for few hits, every
-    document is a text file in a folder of its own, ``file_name=<name>``.
+    They are a table (file_name, content); with ``per_file`` every document is a
+    file of its own, ``text/<file_name>``.
     """
     once = hydrated.dropDuplicates(["doc_id"])
     content = F.concat(F.coalesce("headline", F.lit("")), F.lit("\n\n"), F.col("text"))
     if per_file:
-        once.select("file_name", content.alias("value")).write.partitionBy("file_name").text(f"{path}/text")
+        write_files(once.select(F.col("file_name").alias("name"), content.alias("content")), f"{path}/text")
     else:
         once.select("file_name", content.alias("content")).write.parquet(f"{path}/text")
-    hydrated.orderBy("query_id", "rank", "doc_id").select("manifest").write.text(f"{path}/manifest")
+    _in_rank_order(hydrated.select("query_id", "rank", "doc_id", "manifest"), "manifest").write.text(f"{path}/manifest")
 
 
 def write_corpus_stats(stats: DataFrame, path: str) -> None:
