@@ -47,7 +47,7 @@ SYMBOLS = 255
 HELD_GRAMS = 4_000_000
 CHUNK_BYTES = 2 << 20
 
-# A model of up to so many rows, counted first, is broadcast (some 100 MB).
+# A model of up to so many rows, counted first, is broadcast (at most 30 bytes each).
 BROADCAST_ROWS = 4_000_000
 PIECE_ROWS = 1_000_000
 
@@ -140,6 +140,15 @@ def low(gram: Column, symbols: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << 8 * symbols) - 1))
 
 
+COLUMNS = {"n": "long", "d": "short", "g": "long", "h": "short"}
+
+
+def as_model(rows: DataFrame, place: int) -> DataFrame:
+    """Rows as a part of a model; a column they do not have is null."""
+    columns = [(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in COLUMNS.items()]
+    return rows.select(F.lit(place).cast("byte").alias("place"), "gram", *columns)
+
+
 def train(texts: DataFrame) -> DataFrame:
     """The model of ``texts(text binary)``, staged: (place, gram, n, d, g, h).
 
@@ -153,14 +162,13 @@ def train(texts: DataFrame) -> DataFrame:
     for k in range(ORDER - 1, -1, -1):
         shorter = levels[k + 1].groupBy(low(F.col("gram"), k + 1).alias("gram")).agg(F.sum("n").alias("n"))
         levels[k] = staged(shorter, "grams")
-    none = F.lit(None).cast("double")
     tables = []
     sums = {
         k: level.groupBy(F.shiftright("gram", 8).alias("gram")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
         for k, level in levels.items()
     }
     for k, level in levels.items():
-        tables.append(level.select(F.lit(2 * k).alias("place"), "gram", F.col("n").cast("double").alias("n"), none.alias("d"), none.alias("g"), none.alias("h")))
+        tables.append(as_model(level, 2 * k))
         own = sums[k]
         if k:
             # what the symbols of a context count in its parent
@@ -170,25 +178,20 @@ def train(texts: DataFrame) -> DataFrame:
             own = own.join(taken, "gram").withColumn("parent", low(F.col("gram"), k - 1)).join(parent, "parent")
             left = F.col("kinds") - F.col("d")
             own = own.select("gram", "n", "d", (F.col("all") - F.col("taken") + left).alias("g"), left.alias("h"))
-        else:
-            own = own.select("gram", "n", "d", none.alias("g"), none.alias("h"))
-        tables.append(own.select(F.lit(2 * k + 1).alias("place"), "gram", *(F.col(c).cast("double").alias(c) for c in "ndgh")))
+        tables.append(as_model(own, 2 * k + 1))
     return staged(reduce(DataFrame.unionByName, tables), "ppm-model")
 
 
 class Model:
     """A model, or the piece of one that knows some grams, in memory: sorted keys and their values for each place."""
 
-    def __init__(self, keys: list[np.ndarray], values: list[np.ndarray]):
+    def __init__(self, keys: list[np.ndarray], values: list[list[np.ndarray]]):
         self.keys, self.values = keys, values
 
     @classmethod
-    def of(cls, place: np.ndarray, gram: np.ndarray, values: np.ndarray) -> "Model":
-        order = np.lexsort((gram, place))
-        cuts = np.searchsorted(place[order], np.arange(2 * ORDER + 3))
-        rows = [order[a:b] for a, b in zip(cuts, cuts[1:])]
-        # grams have counts only, contexts all four values
-        return cls([gram[r] for r in rows], [values[: 4 if place % 2 else 1, r] for place, r in enumerate(rows)])
+    def of(cls, table: pa.Table) -> "Model":
+        place = table["place"].to_numpy()
+        return cls(*zip(*(sorted_place(table.filter(pa.array(place == p)), p) for p in range(2 * ORDER + 2))))
 
     def find(self, place: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys are there, and where."""
@@ -198,6 +201,12 @@ class Model:
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         return known[at] == keys, at
 
+    def at(self, place: int, rows: np.ndarray) -> list[np.ndarray]:
+        """The values of some rows of a place."""
+        if not len(self.keys[place]):
+            return [np.zeros(len(rows))] * len(self.values[place])
+        return [column[rows].astype(np.float64) for column in self.values[place]]
+
     def logs(self, keys: np.ndarray) -> np.ndarray:
         """The natural logarithm of each gram's probability."""
         out = np.zeros(len(keys))
@@ -207,20 +216,20 @@ class Model:
         for k in range(ORDER, -1, -1):
             gram = keys[rows] & (1 << 8 * (k + 1)) - 1
             known, at = self.find(2 * k + 1, gram >> 8)
-            n, d, _, _ = self.values[2 * k + 1][:, at] if len(self.keys[2 * k + 1]) else np.zeros((4, len(rows)))
+            n, d = self.at(2 * k + 1, at)[:2]
             total, escape = n + d, d
-            if k < ORDER and len(self.keys[2 * k + 3]):
-                _, _, g, h = self.values[2 * k + 3][:, child_at]
+            if k < ORDER:
+                g, h = self.at(2 * k + 3, child_at)[2:]
                 total, escape = np.where(child, g, total), np.where(child, h, escape)
             met, where = self.find(2 * k, gram)
             with np.errstate(divide="ignore", invalid="ignore"):
                 if met.any():
-                    out[rows[met]] += np.log(self.values[2 * k][0, where[met]] / total[met])
+                    out[rows[met]] += np.log(self.at(2 * k, where[met])[0] / total[met])
                 paid = np.where(known & (total > 0), np.log(escape / total), 0.0)
             rest = ~met
             out[rows[rest]] += paid[rest]
             rows, child, child_at = rows[rest], known[rest], at[rest]
-        kinds = int(self.values[1][1, 0]) if len(self.keys[1]) else 0
+        kinds = int(self.values[1][1][0]) if len(self.keys[1]) else 0
         out[rows] -= np.log(max(SYMBOLS - kinds, 1))
         return out
 
@@ -233,10 +242,12 @@ class Model:
         return out / LOG10
 
 
-def arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, grams and values of a model's rows; an unset value is 0."""
-    columns = [np.nan_to_num(table[c].to_numpy().astype(np.float64)) for c in "ndgh"]
-    return table["place"].to_numpy(), table["gram"].to_numpy(), np.stack(columns)
+def sorted_place(rows: pa.Table, place: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The sorted grams of one place, and their counts; of contexts all four values, an unset one 0."""
+    gram = rows["gram"].to_numpy()
+    order = np.argsort(gram)
+    columns = list(COLUMNS)[: 4 if place % 2 else 1]
+    return gram[order], [rows[c].fill_null(0).to_numpy()[order] for c in columns]
 
 
 # --- scoring --------------------------------------------------------------------------------
@@ -254,8 +265,10 @@ def score(docs: DataFrame, model: DataFrame, most: int = BROADCAST_ROWS, piece_r
 
 
 def _scored_at_once(docs: DataFrame, model: DataFrame) -> DataFrame:
-    whole = Model.of(*arrays(model.toArrow()))
-    shared = docs.sparkSession.sparkContext.broadcast((whole.keys, whole.values))
+    # place by place, so that the driver never holds the model twice
+    places = [sorted_place(model.where(F.col("place") == place).toArrow(), place) for place in range(2 * ORDER + 2)]
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(zip(*places)))
+    del places
     names = [*docs.columns, "score"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +289,7 @@ def _scored_by_pieces(docs: DataFrame, model: DataFrame, rows: int, piece_rows:
     spark = docs.sparkSession
     pieces = -(-rows // piece_rows)
     piece_of = lambda context: F.pmod(F.xxhash64(low(context, 2)), F.lit(pieces)).cast("int")
-    few = spark.sparkContext.broadcast(arrays(model.where("place <= 3").toArrow()))
+    few = spark.sparkContext.broadcast(model.where("place <= 3").select("place", "gram", *COLUMNS).toArrow())
     context = F.when(F.col("place") % 2 == 0, F.shiftright("gram", 8)).otherwise(F.col("gram"))
     own = model.where("place > 3").withColumn("piece", piece_of(context))
     # a piece that has a large share of all grams is copied, and the grams it is asked for are dealt to the copies
@@ -286,7 +299,7 @@ def _scored_by_pieces(docs: DataFrame, model: DataFrame, rows: int, piece_rows:
     copies = F.greatest(F.ceil(F.sum("n") * tasks / total), F.lit(1)).cast("int")
     copies = F.broadcast(staged(full.groupBy("piece").agg(copies.alias("copies")), "piece-copies"))  # a row a piece
     every = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
-    known = own.join(copies, "piece", "left").select("piece", every.alias("copy"), "place", "gram", *"ndgh")
+    known = own.join(copies, "piece", "left").select("piece", every.alias("copy"), "place", "gram", *COLUMNS)
 
     numbered = staged(docs.withColumn("score row", F.monotonically_increasing_id()), "texts-to-score")
 
@@ -306,7 +319,7 @@ def _scored_by_pieces(docs: DataFrame, model: DataFrame, rows: int, piece_rows:
     copy = F.pmod(F.xxhash64("row"), F.coalesce("copies", F.lit(1))).cast("int")
     blank = lambda kind: F.lit(None).cast(kind)
     asked = asked.select(
-        "piece", copy.alias("copy"), blank("int").alias("place"), "gram", *(blank("double").alias(c) for c in "ndgh"), "row", "times"
+        "piece", copy.alias("copy"), blank("byte").alias("place"), "gram", *(blank(t).alias(c) for c, t in COLUMNS.items()), "row", "times"
     )
     known = known.withColumns({"row": blank("long"), "times": blank("long")})
 
@@ -326,8 +339,8 @@ def _scored_by_pieces(docs: DataFrame, model: DataFrame, rows: int, piece_rows:
                     held.append(some)
                     continue
                 if piece is None:
-                    own = arrays(pa.Table.from_batches(held, batch.schema))
-                    piece = Model.of(*(np.concatenate(pair, axis=-1) for pair in zip(own, few.value)))
+                    own = pa.Table.from_batches(held, batch.schema).select(["place", "gram", *COLUMNS])
+                    piece = Model.of(pa.concat_tables([own, few.value]))
                 logs = piece.logs(some["gram"].to_numpy()) * some["times"].to_numpy()
                 yield pa.record_batch([some["row"], pa.array(logs)], names=["score row", "part"])
 

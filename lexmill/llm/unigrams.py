@@ -12,7 +12,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
@@ -115,37 +114,39 @@ def scored(docs: DataFrame) -> DataFrame:
     tokens, kinds = counted.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     below = np.log10(tokens + 0.5 * (kinds + 1))
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, found = None, []
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+        pack = lambda: pa.record_batch([pa.array([here]), pa.array([np.concatenate(held).tobytes()])], names=["shard", "counts"])
         for batch in batches:
             for start, end in shard_runs(batch["shard"].to_numpy()):
                 some = batch.slice(start, end - start)
                 if some["shard"][0].as_py() != here:
-                    here, found = some["shard"][0].as_py(), []
-                is_word = pc.is_valid(some["number"]).to_numpy(False)
-                words = some.filter(pa.array(is_word))
-                found.append((words["number"].to_numpy(), words["c"].to_numpy()))
-                for whole in some.filter(pa.array(~is_word)).to_pylist():  # after all words of the shard
-                    number, c = (np.concatenate(part) for part in zip(*found))
-                    count = np.zeros(len(number), dtype=np.int64)
-                    count[number] = c
-                    own = np.frombuffer(whole["numbers"], dtype="<i4")
-                    starts = np.cumsum([0, *(r["n tokens"] for r in whole["rows"])])[:-1]
-                    logs = np.add.reduceat(np.log10(count + 0.5)[own] - below, starts)
-                    known = np.add.reduceat((count > 0).astype(np.int64)[own], starts)
-                    columns = [pa.array([r[n] for r in whole["rows"]], batch.schema.field("rows").type.value_type.field(n).type) for n in names]
-                    columns += [pa.array([r["n tokens"] for r in whole["rows"]], pa.int64()), pa.array(known), pa.array(logs)]
-                    yield pa.record_batch(columns, names=[*names, "n_tokens", "n_known", "base_score"])
-
-    blank = lambda kind: F.lit(None).cast(kind)
-    texts = shards.select("shard", blank("int").alias("number"), blank("long").alias("c"), "rows", "numbers")
-    words = counted.select("shard", "number", "c", blank(fields[1].dataType).alias("rows"), blank("binary").alias("numbers"))
+                    if held:
+                        yield pack()
+                    here, held = some["shard"][0].as_py(), []
+                held.append(some["c"].to_numpy().astype("<i8"))
+        if held:
+            yield pack()
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = batch.schema.field("rows").type.value_type
+            for shard_rows, numbers, counts in zip(batch["rows"].to_pylist(), batch["numbers"], batch["counts"]):
+                count = np.frombuffer(counts.as_py(), dtype="<i8")
+                own = np.frombuffer(numbers.as_py(), dtype="<i4")
+                lengths = [r["n tokens"] for r in shard_rows]
+                starts = np.cumsum([0, *lengths])[:-1]
+                logs = np.add.reduceat((np.log10(count + 0.5) - below)[own], starts)
+                known = np.add.reduceat((count > 0).astype(np.int64)[own], starts)
+                columns = [pa.array([r[n] for r in shard_rows], kind.field(n).type) for n in names]
+                columns += [pa.array(lengths, pa.int64()), pa.array(known), pa.array(logs)]
+                yield pa.record_batch(columns, names=[*names, "n_tokens", "n_known", "base_score"])
+
+    # the counts go back in the order of the shard's own numbers, which are all there
     parts = max(partitions(docs.sparkSession), -(-shards.count() // 4))
-    met = (
-        words.unionByName(texts)
-        .repartitionById(parts, F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int"))
-        .sortWithinPartitions("shard", F.asc_nulls_last("number"))
-    )
+    dealt = counted.select("shard", "number", "c").repartitionById(parts, F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int"))
+    back = dealt.sortWithinPartitions("shard", "number").select("shard", "c").mapInArrow(packed, "shard long, counts binary")
+    met = shards.select("shard", "rows", "numbers").join(back, "shard").select("rows", "numbers", "counts")
     schema = StructType([*more, StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base_score", DoubleType())])
     return met.mapInArrow(summed, schema).withColumn("train_tokens", F.lit(tokens).cast("long"))
 

@@ -121,7 +121,7 @@ def test_odd_texts(spark, odd_documents, no_documents):
 
 def test_probabilities_of_a_context_sum_to_one(spark):
     texts = spark.createDataFrame([("abracadabra abraham",), ("bracket",)], "text string").select(F.col("text").cast("binary"))
-    model = ppm.Model.of(*ppm.arrays(ppm.train(texts).toArrow()))
+    model = ppm.Model.of(ppm.train(texts).toArrow())
     for before in (b"", b"abra", b"zz", b"cad", b"ham"):
         context = ppm.symbols(before)[:-1][-ORDER:]
         rows = [np.append(context, s).astype(np.uint8) for s in range(ppm.SYMBOLS)]
