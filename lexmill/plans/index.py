@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from lexmill import schemas
 from lexmill.functions.weights import REFERENCE, STANDARD
 from lexmill.operators import postings as ops
+from lexmill.operators.pruning import FREQUENT_DF, block_bits, block_maxima
 from lexmill.operators.queries import shard_of
 from lexmill.operators.stats import corpus_stats, document_norms
 from lexmill.operators.tokens import StopWords, kept_words, term_arrays
@@ -45,6 +46,9 @@ class Index:
     postings: DataFrame | None = None
     uniwords: DataFrame | None = None
     biword_terms: DataFrame | None = None
+    maxima: DataFrame | None = None
+    block_bits: int = 0
+    frequent_df: int = FREQUENT_DF
 
     @cached_property
     def stats(self) -> Row:
@@ -78,6 +82,9 @@ class Index:
         )
         if "positional" in meta.kinds:
             index.postings = table("postings", schemas.POSTINGS)
+            if "block_bits" in meta:
+                index.maxima = table("maxima", schemas.MAXIMA)
+                index.block_bits, index.frequent_df = meta.block_bits, meta.frequent_df
         if "uniword" in meta.kinds:
             index.uniwords = table("uniwords", schemas.UNIWORDS)
         if "biword" in meta.kinds:
@@ -177,6 +184,7 @@ def build_index(
     partitions: int | None = None,
     unique_ids: bool | None = None,
     n_bad_records: int = 0,
+    frequent_df: int = FREQUENT_DF,
 ) -> Index:
     """Index ``docs(doc_id, [title], text)`` under ``path``.
 
@@ -186,7 +194,8 @@ def build_index(
     one folder per shard; see ``file_ranges``. ``partitions`` spreads a corpus of few
     large files over more tasks first. Documents that share an id are united, all
     others stay as they are; ``unique_ids=True`` tells that there are none, and saves
-    the look.
+    the look. Terms in at least ``frequent_df`` documents get maxima of document blocks,
+    by which searches skip what cannot be a hit.
     """
     spark = docs.sparkSession
     kinds = sorted(set(kinds))
@@ -239,7 +248,7 @@ def build_index(
             merged = stage(ops.merge_postings(ops.explode_entries(shared)), "postings")
             norms = _with_norms(merged.select("doc_id").distinct(), merged)
             rows = rows.unionByName(merged.join(norms, "doc_id"))
-        lists = write(rows, "postings", "term", keys_of("entries", "term", "term"), schemas.POSTINGS)
+        lists = postings = write(rows, "postings", "term", keys_of("entries", "term", "term"), schemas.POSTINGS)
     if "uniword" in kinds:
         lists = write(rows_of("uniwords", "term"), "uniwords", "term", keys_of("uniwords", "term"), schemas.UNIWORDS)
     if "biword" in kinds:
@@ -248,7 +257,15 @@ def build_index(
     if lists is not None:
         write_dictionary(lists, "terms", "term")
     _document_stats(alone, shared, merged, "positional" in kinds).write.parquet(f"{path}/doc_stats")
-    spark.createDataFrame([(shards, kinds)], "shards int, kinds array<string>").write.parquet(f"{path}/meta")
+    bits = 0
+    if "positional" in kinds:
+        stats = spark.read.schema(schemas.DOC_STATS).parquet(f"{path}/doc_stats")
+        terms = spark.read.schema(schemas.TERMS).parquet(f"{path}/terms")
+        bits = block_bits(stats)
+        maxima = block_maxima(postings, terms, bits, frequent_df).repartition("shard").sortWithinPartitions("shard", "term", "block")
+        maxima.write.partitionBy("shard").parquet(f"{path}/maxima")
+    meta = "shards int, kinds array<string>, block_bits int, frequent_df long"
+    spark.createDataFrame([(shards, kinds, bits, frequent_df)], meta).write.parquet(f"{path}/meta")
     for table in (staged, merged):
         if table is not None:
             discard(table)

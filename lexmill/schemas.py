@@ -29,6 +29,15 @@ POSTINGS = T.StructType([
     T.StructField("shard", T.IntegerType()),
 ])
 
+MAXIMA = T.StructType([
+    T.StructField("term", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("max_tf", T.IntegerType()),
+    T.StructField("min_len", T.IntegerType()),
+    T.StructField("max_ratio", T.DoubleType()),
+    T.StructField("shard", T.IntegerType()),
+])
+
 UNIWORDS = T.StructType([
     T.StructField("term", T.StringType()),
     T.StructField("doc_id", T.LongType()),
