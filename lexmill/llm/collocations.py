@@ -13,7 +13,9 @@ and a phrase goes on only if it is frequent over all shards:
    right by the reversed transform or to the left by the other one, in turn, and
    keeps both intervals in step. An extension whose other words, without its first
    or last, are no frequent phrase is left out. The counts are summed over the
-   shards, and the shards go on with those that reach the limit.
+   shards, and the shards go on with those that reach the limit. As long as these
+   are few, they are broadcast, and a shard extends anew from its words, so that
+   neither indexes nor intervals are shuffled; more are joined to the shards' intervals.
 
 A phrase is known by its two shorter forms, without its last and without its first
 word, so ids are exact and no task needs words again. The frequent phrases get their
@@ -22,6 +24,7 @@ words, and the counts of all their beginnings and ends, by joins with the shorte
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +33,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import partitions, staged
+from lexmill.llm.common import partitions
 from lexmill.llm.unigrams import Numbers, shard_number, shard_runs
-from lexmill.session import local_copy, small_rows
+from lexmill.session import discard, local_copy, small_rows, stage
 
 MOST_WORDS = 5
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
+
+# Frequent phrases of one length that are broadcast, counted first; more are joined.
+BROADCAST_PHRASES = 500_000
 
 # What ends a piece, and the mark for it, which is then in no word.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -64,7 +70,7 @@ def phrase_shards(docs: DataFrame) -> DataFrame:
                 numbers = b"".join(parts)
                 counts = np.bincount(np.frombuffer(numbers, dtype="<i4"), minlength=len(ids))
                 counts[0] = 0
-                rows.append((shard_number(made + k), lang, int(counts.sum()), list(ids), counts, numbers))
+                rows.append((shard_number(made + k), lang, int(counts.sum()), list(ids), counts, zlib.compress(numbers, 1)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary())
             names = ["shard", "lang", "tokens", "words", "counts", "numbers"]
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
@@ -142,7 +148,7 @@ def indexes(words: DataFrame, shards: DataFrame, parts: int) -> DataFrame:
                     number, gid = (np.concatenate(c) for c in zip(*found))
                     if not len(number):
                         continue
-                    own = np.frombuffer(numbers.as_py(), dtype="<i4")
+                    own = np.frombuffer(zlib.decompress(numbers.as_py()), dtype="<i4")
                     local = np.zeros(int(own.max()) + 1, dtype=np.int32)
                     local[number] = np.arange(1, len(number) + 1)
                     text = np.append(np.int32(0), local[own])
@@ -164,9 +170,16 @@ PHRASES = ("gid", "prefix", "suffix", "first", "last", "low", "right_low", "size
 FOUND = "shard long, prefix long, suffix long, first long, last long, low long, right_low long, size long"
 
 
-def grown(table: pa.Table, gids: np.ndarray, bwt: np.ndarray, right: bool) -> list[np.ndarray]:
+def word_phrases(gids: np.ndarray, bwt: np.ndarray) -> list[np.ndarray]:
+    """The columns ``PHRASES`` of a shard's words: a word's interval comes after those of all smaller numbers."""
+    ends = np.cumsum(np.bincount(bwt, minlength=len(gids) + 1))
+    low, size, none = ends[:-1], np.diff(ends), np.zeros(len(gids), dtype=np.int64)
+    return [gids, none, none, gids, gids, low, low, size]
+
+
+def grown(phrases: list[np.ndarray], gids: np.ndarray, bwt: np.ndarray, right: bool) -> list[np.ndarray]:
     """The extensions of one shard's frequent phrases: the columns of ``FOUND`` but the first."""
-    gid, prefix, suffix, first, last, low, right_low, size = (table[c].to_numpy() for c in PHRASES)
+    gid, prefix, suffix, first, last, low, right_low, size = phrases
     # an extension X w is frequent only if (X without its first word) w is; that phrase has prefix suffix(X) and last w
     inner, inner_side, end = (suffix, prefix, last) if right else (prefix, suffix, first)
     mine, other = (right_low, low) if right else (low, right_low)
@@ -208,7 +221,7 @@ def extensions(index: DataFrame, phrases: DataFrame, right: bool, parts: int) ->
                         continue
                     gids = np.frombuffer(row["gids"], dtype="<i8")
                     bwt = np.frombuffer(row["bwt"], dtype="<u2" if len(gids) < 1 << 16 else "<i4")
-                    columns = grown(table, gids, bwt, right)
+                    columns = grown([table[c].to_numpy() for c in PHRASES], gids, bwt, right)
                     for at in range(0, len(columns[0]), 1 << 18):
                         slices = [pa.array(c[at : at + (1 << 18)], pa.int64()) for c in columns]
                         yield pa.record_batch([pa.array(np.full(len(slices[0]), here)), *slices], names=names)
@@ -219,6 +232,56 @@ def extensions(index: DataFrame, phrases: DataFrame, right: bool, parts: int) ->
     return by_shard(rows.unionByName(texts), parts, F.asc_nulls_last("gid")).mapInArrow(extend, FOUND)
 
 
+class Level:
+    """The frequent phrases of one length, to look up their ids by prefix and suffix."""
+
+    def __init__(self, prefix: np.ndarray, suffix: np.ndarray, gid: np.ndarray):
+        self.prefixes, self.suffixes = np.unique(prefix), np.unique(suffix)
+        keys = self.key(prefix, suffix)
+        order = np.argsort(keys)
+        self.keys, self.gids = keys[order], gid[order]
+
+    def key(self, prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.prefixes, prefix) * (len(self.suffixes) + 1) + np.searchsorted(self.suffixes, suffix)
+
+    def frequent(self, found: list[np.ndarray]) -> list[np.ndarray]:
+        """The columns ``PHRASES`` of those of ``found`` that are in the level."""
+        prefix, suffix = found[:2]
+        if not len(self.keys):
+            return [c[:0] for c in (prefix, *found)]
+        known = np.isin(prefix, self.prefixes) & np.isin(suffix, self.suffixes)
+        at = np.minimum(np.searchsorted(self.keys, self.key(prefix, suffix)), len(self.keys) - 1)
+        known &= self.keys[at] == self.key(prefix, suffix)
+        return [self.gids[at[known]], *(c[known] for c in found)]
+
+
+def from_words(index: DataFrame, levels: list, counts_only: bool) -> DataFrame:
+    """``FOUND``, or its columns of counts: the extensions of the last of the broadcast levels, made anew from words.
+
+    ``levels`` are those of two and more words; the extensions have one word more.
+    """
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in FOUND.split(", ")]
+        known = [Level(*level.value) for level in levels]
+        for batch in batches:
+            for shard, gids, left, right in zip(*(batch[c] for c in ("shard", "gids", "left", "right"))):
+                gids = np.frombuffer(gids.as_py(), dtype="<i8")
+                kind = "<u2" if len(gids) < 1 << 16 else "<i4"
+                sides = [np.frombuffer(side.as_py(), dtype=kind) for side in (left, right)]
+                found = grown(word_phrases(gids, sides[0]), gids, sides[1], True)
+                for length, level in enumerate(known, 3):
+                    found = grown(level.frequent(found), gids, sides[length % 2 == 0], length % 2 == 0)
+                for at in range(0, len(found[0]), 1 << 18):
+                    slices = [pa.array(c[at : at + (1 << 18)], pa.int64()) for c in found]
+                    if counts_only:
+                        yield pa.record_batch([slices[0], slices[1], slices[-1]], names=["prefix", "suffix", "size"])
+                    else:
+                        yield pa.record_batch([pa.array(np.full(len(slices[0]), shard.as_py())), *slices], names=names)
+
+    return index.mapInArrow(extend, "prefix long, suffix long, size long" if counts_only else FOUND)
+
+
 # --- phrases of all shards --------------------------------------------------------------------
 
 
@@ -235,37 +298,38 @@ def frequent_phrases(docs: DataFrame, least: int, most_words: int = MOST_WORDS)
     """
     if not 1 <= most_words <= MOST_WORDS:
         raise ValueError(f"phrases have 1 to {MOST_WORDS} words")
-    shards = staged(phrase_shards(docs), "phrase-shards")
-    totals = staged(shards.groupBy("lang").agg(F.sum("tokens").alias("n")), "word-totals")
+    shards = stage(phrase_shards(docs), "phrase-shards")
+    totals = stage(shards.groupBy("lang").agg(F.sum("tokens").alias("n")), "word-totals")
     parts = max(partitions(docs.sparkSession), -(-shards.count() // 4))
     each = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).where("number > 0")
     each = each.select("shard", "lang", "number", F.col("w.words").alias("word"), F.col("w.counts").alias("size"))
     nothing = F.lit(0).cast("long")
     words = each.groupBy("lang", "word").agg(F.sum("size").alias("f")).where(F.col("f") >= least)
-    words = staged(words.select((F.monotonically_increasing_id() + 1).alias("gid"), nothing.alias("prefix"), nothing.alias("suffix"), "f", "lang", "word"), "phrases-1")
-    own = staged(met(each, words.select("lang", "word", "gid"), ["lang", "word"]).select("shard", "number", "gid", "size"), "frequent-words")
-    index = staged(indexes(own, shards, parts), "fm-index")
+    words = stage(words.select((F.monotonically_increasing_id() + 1).alias("gid"), nothing.alias("prefix"), nothing.alias("suffix"), "f", "lang", "word"), "phrases-1")
+    own = stage(met(each, words.select("lang", "word", "gid"), ["lang", "word"]).select("shard", "number", "gid", "size"), "frequent-words")
+    index = stage(indexes(own, shards, parts), "fm-index")
     levels = [words.withColumn("phrase", F.col("word").cast("string")).drop("word")]
 
-    # the interval of a word: after those of the mark and of all words with smaller numbers, in both transforms
-    marks = index.select("shard", "gids", "left")
-
-    def word_intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, gids, left in zip(batch["shard"].to_pylist(), batch["gids"], batch["left"]):
-                gids = np.frombuffer(gids.as_py(), dtype="<i8")
-                bwt = np.frombuffer(left.as_py(), dtype="<u2" if len(gids) < 1 << 16 else "<i4")
-                ends = np.cumsum(np.bincount(bwt, minlength=len(gids) + 1))
-                low, size, none = ends[:-1], np.diff(ends), np.zeros(len(gids), dtype=np.int64)
-                columns = [np.full(len(gids), shard), gids, none, none, gids, gids, low, low, size]
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["shard", *PHRASES])
-
-    phrases = marks.mapInArrow(word_intervals, ", ".join(f"{c} long" for c in ("shard", *PHRASES)))
+    discard(shards)
+    discard(own)
+    few: list | None = []  # the levels broadcast so far; None from the first on that is not
+    phrases = None
     for length in range(2, most_words + 1):
-        found = staged(extensions(index, phrases, length % 2 == 0, parts), "extensions")
+        if few is not None:
+            found = from_words(index, few, counts_only=True)
+        else:
+            found = stage(extensions(index, phrases, length % 2 == 0, parts), "extensions")
         summed = found.groupBy("prefix", "suffix").agg(F.sum("size").alias("f")).where(F.col("f") >= least)
-        level = staged(summed.select((F.monotonically_increasing_id() + 1).alias("gid"), "prefix", "suffix", "f"), f"phrases-{length}")
+        level = stage(summed.select((F.monotonically_increasing_id() + 1).alias("gid"), "prefix", "suffix", "f"), f"phrases-{length}")
         levels.append(level)
+        if length == most_words:
+            break
+        if few is not None and level.count() <= BROADCAST_PHRASES:
+            columns = level.select("prefix", "suffix", "gid").toArrow()
+            few.append(docs.sparkSession.sparkContext.broadcast(tuple(c.to_numpy() for c in columns.columns)))
+            continue
+        if few is not None:
+            found, few = from_words(index, few, counts_only=False), None
         phrases = met(found, level.select("gid", "prefix", "suffix"), ["prefix", "suffix"])
     return levels, totals
 
@@ -288,7 +352,7 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = MOST_WORDS
         begin = known.select(F.col("gid").alias("prefix"), "lang", "phrase", "begins")
         end = known.select(F.col("gid").alias("suffix"), "tail", "ends")
         joined = level.join(begin, "prefix").join(end, "suffix")
-        known = staged(
+        known = stage(
             joined.select(
                 "gid",
                 "lang",

@@ -56,9 +56,11 @@ def test_query_matches_sql(spark):
     assert differences(frame, connect(sf_dir), queries.SQL["op13_collocations"]) == [] and frame.count() > 50
 
 
-@pytest.mark.parametrize("shard_tokens,least,k", [(40, 3, 2000), (300, 2, 25)])
-def test_against_all_phrases(spark, monkeypatch, shard_tokens, least, k):
+@pytest.mark.parametrize("shard_tokens,least,k,broadcast", [(40, 3, 2000, 10**6), (300, 2, 25, 0), (150, 2, 2000, 60)])
+def test_against_all_phrases(spark, monkeypatch, shard_tokens, least, k, broadcast):
+    """With levels that are broadcast, joined, and first the one and then the other."""
     monkeypatch.setattr(collocations, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(collocations, "BROADCAST_PHRASES", broadcast)
     order = random.Random(8)
     words = "a B c dd é new york Times, of. the; of the\nNew-York \t x! \x85y".split(" ")
     rows = [(order.choice(["en", "de", None]), " ".join(order.choices(words, k=order.randrange(60)))) for _ in range(120)]
