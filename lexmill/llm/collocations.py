@@ -131,8 +131,45 @@ def packed(values: np.ndarray, kind: str) -> bytes:
     return values.astype(kind).tobytes()
 
 
+INDEX = "shard long, gids binary, left binary, right binary"
+
+
+def index_row(shard: int, number: np.ndarray, gid: np.ndarray, numbers: bytes) -> pa.RecordBatch | None:
+    """The FM-index of a shard over its frequent words, which have these numbers; None if it has none."""
+    if not len(number):
+        return None
+    own = np.frombuffer(zlib.decompress(numbers), dtype="<i4")
+    local = np.zeros(int(max(own.max(initial=0), number.max())) + 1, dtype=np.int32)
+    local[number] = np.arange(1, len(number) + 1)
+    text = np.append(np.int32(0), local[own])
+    text = text[np.append(True, (text[1:] > 0) | (text[:-1] > 0))]  # one mark at a time
+    kind = "<u2" if len(number) < 1 << 16 else "<i4"
+    columns = [packed(gid, "<i8"), packed(transform(text), kind), packed(transform(text[::-1]), kind)]
+    return pa.record_batch([pa.array([shard]), *(pa.array([c]) for c in columns)], names=["shard", "gids", "left", "right"])
+
+
+def indexes_by_dictionary(shards: DataFrame, words: DataFrame) -> DataFrame:
+    """``INDEX`` of each shard over ``words(lang, word, gid)``, few enough to be broadcast: each shard looks up its own."""
+    known: dict[str, dict[bytes, int]] = {}
+    for lang, word, gid in zip(*(c.to_pylist() for c in words.select("lang", "word", "gid").toArrow().columns)):
+        known.setdefault(lang, {})[word] = gid
+    shared = shards.sparkSession.sparkContext.broadcast(known)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lang, own, numbers in zip(*(batch[c] for c in ("shard", "lang", "words", "numbers"))):
+                gids_of = shared.value.get(lang.as_py(), {})
+                gid = np.array([gids_of.get(w, 0) for w in own.as_py()], dtype=np.int64)
+                number = np.flatnonzero(gid)
+                row = index_row(shard.as_py(), number, gid[number], numbers.as_py())
+                if row is not None:
+                    yield row
+
+    return shards.select("shard", "lang", "words", "numbers").mapInArrow(made, INDEX)
+
+
 def indexes(words: DataFrame, shards: DataFrame, parts: int) -> DataFrame:
-    """(shard, gids, left, right): the FM-index of each shard over ``words(shard, number, gid)``, its frequent words."""
+    """``INDEX`` of each shard over ``words(shard, number, gid)``, its frequent words."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, found = None, []
@@ -145,21 +182,13 @@ def indexes(words: DataFrame, shards: DataFrame, parts: int) -> DataFrame:
                 words = some.filter(is_word)
                 found.append((words["number"].to_numpy(), words["gid"].to_numpy()))
                 for numbers in some.filter(pc.invert(is_word))["numbers"]:  # after all words of the shard
-                    number, gid = (np.concatenate(c) for c in zip(*found))
-                    if not len(number):
-                        continue
-                    own = np.frombuffer(zlib.decompress(numbers.as_py()), dtype="<i4")
-                    local = np.zeros(int(own.max()) + 1, dtype=np.int32)
-                    local[number] = np.arange(1, len(number) + 1)
-                    text = np.append(np.int32(0), local[own])
-                    text = text[np.append(True, (text[1:] > 0) | (text[:-1] > 0))]  # one mark at a time
-                    kind = "<u2" if len(number) < 1 << 16 else "<i4"
-                    columns = [packed(gid, "<i8"), packed(transform(text), kind), packed(transform(text[::-1]), kind)]
-                    yield pa.record_batch([pa.array([here]), *(pa.array([c]) for c in columns)], names=["shard", "gids", "left", "right"])
+                    row = index_row(here, *(np.concatenate(c) for c in zip(*found)), numbers.as_py())
+                    if row is not None:
+                        yield row
 
     texts = shards.select("shard", F.lit(None).cast("int").alias("number"), F.lit(None).cast("long").alias("gid"), "numbers")
     both = words.select("shard", "number", "gid", F.lit(None).cast("binary").alias("numbers")).unionByName(texts)
-    return by_shard(both, parts, F.asc_nulls_last("number")).mapInArrow(made, "shard long, gids binary, left binary, right binary")
+    return by_shard(both, parts, F.asc_nulls_last("number")).mapInArrow(made, INDEX)
 
 
 def by_shard(rows: DataFrame, parts: int, order: Column) -> DataFrame:
@@ -306,12 +335,15 @@ def frequent_phrases(docs: DataFrame, least: int, most_words: int = MOST_WORDS)
     nothing = F.lit(0).cast("long")
     words = each.groupBy("lang", "word").agg(F.sum("size").alias("f")).where(F.col("f") >= least)
     words = stage(words.select((F.monotonically_increasing_id() + 1).alias("gid"), nothing.alias("prefix"), nothing.alias("suffix"), "f", "lang", "word"), "phrases-1")
-    own = stage(met(each, words.select("lang", "word", "gid"), ["lang", "word"]).select("shard", "number", "gid", "size"), "frequent-words")
-    index = stage(indexes(own, shards, parts), "fm-index")
+    if words.count() <= BROADCAST_PHRASES:
+        index = stage(indexes_by_dictionary(shards, words), "fm-index")
+    else:
+        own = stage(each.join(words.select("lang", "word", "gid"), ["lang", "word"]).select("shard", "number", "gid"), "frequent-words")
+        index = stage(indexes(own, shards, parts), "fm-index")
+        discard(own)
     levels = [words.withColumn("phrase", F.col("word").cast("string")).drop("word")]
 
     discard(shards)
-    discard(own)
     few: list | None = []  # the levels broadcast so far; None from the first on that is not
     phrases = None
     for length in range(2, most_words + 1):
