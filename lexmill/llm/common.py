@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.operators.ranks import ranked
 from lexmill.session import stage as staged
 
-__all__ = ["HOT_PART", "LOWER", "UPPER", "WORD", "lower_ascii", "partitions", "ranked", "staged", "with_group"]
+__all__ = ["HOT_PART", "LOWER", "UPPER", "WORD", "least_hashes", "lower_ascii", "partitions", "ranked", "staged", "with_group"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -40,3 +40,18 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: i
     hot, cold = groups.where(F.col(size) > limit), groups.where(F.col(size) <= limit)
     few = F.broadcast(hot)
     return rows.join(few, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def least_hashes(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest 64-bit hashes ``key``, of a staged table of distinct hashes.
+
+    A threshold that some more than ``n`` hashes lie below is taken from the number of
+    rows first, so that the tasks together send about ``n`` rows to be sorted, however
+    many there are.
+    """
+    total = rows.count()
+    if total > 2 * n:
+        below = rows.where(F.col(key) < int(2**64 * min(1.0, (1.2 * n + 100) / total)) - 2**63)
+        if below.count() >= n:
+            rows = below
+    return rows.orderBy(key).limit(n)

@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import staged
+from lexmill.llm.common import least_hashes, staged
 
 # At most so many labelled rows train the model.
 TRAIN_ROWS = 50_000
@@ -142,7 +142,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg((F.avg("toxic") >= 0.5).cast("double").alias("label"))
     )
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    marked = staged(marked.withColumn("hash", F.xxhash64("doc_id")), "labelled-ids")
+    chosen = least_hashes(marked, "hash", train_rows).drop("hash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return staged(texts.join(F.broadcast(chosen), "doc_id"), "training-texts")
 
