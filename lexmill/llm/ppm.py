@@ -25,7 +25,7 @@ the marks of start and end; in a malformed text they count as byte 0xFD.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -45,7 +45,7 @@ SYMBOLS = 255
 
 # Grams a task holds before it passes them on, 16 bytes each.
 HELD_GRAMS = 4_000_000
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 # A model of up to so many rows, counted first, is broadcast (at most 30 bytes each).
 BROADCAST_ROWS = 4_000_000
@@ -260,21 +260,26 @@ def score(docs: DataFrame, model: DataFrame, most: int = BROADCAST_ROWS, piece_r
     gives every byte the same probability. ``most`` is the largest model that is broadcast.
     """
     docs = docs.drop("score")
-    rows = model.count()
-    return _scored_at_once(docs, model) if rows <= most else _scored_by_pieces(docs, model, rows, piece_rows)
+    at_once = scorer(model, most)
+    return _scored_by_pieces(docs, model, model.count(), piece_rows) if at_once is None else _scored_at_once(docs, at_once)
 
 
-def _scored_at_once(docs: DataFrame, model: DataFrame) -> DataFrame:
+def scorer(model: DataFrame, most: int = BROADCAST_ROWS) -> Callable[[pa.Array], np.ndarray] | None:
+    """What scores a column of texts in a task, with the whole model; None for a model of more than ``most`` rows."""
+    if model.count() > most:
+        return None
     # place by place, so that the driver never holds the model twice
     places = [sorted_place(model.where(F.col("place") == place).toArrow(), place) for place in range(2 * ORDER + 2)]
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(zip(*places)))
-    del places
+    shared = model.sparkSession.sparkContext.broadcast(tuple(zip(*places)))
+    return lambda texts: Model(*shared.value).scores(texts)
+
+
+def _scored_at_once(docs: DataFrame, scores: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     names = [*docs.columns, "score"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Model(*shared.value)
         for batch in batches:
-            yield pa.record_batch([*batch.columns, pa.array(known.scores(batch["text"]))], names=names)
+            yield pa.record_batch([*batch.columns, pa.array(scores(batch["text"]))], names=names)
 
     return docs.mapInArrow(scored, StructType([*docs.schema, StructField("score", DoubleType())]))
 

@@ -147,7 +147,9 @@ def op12_lm_scores(spark, sf_dir):
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
     docs = table(spark, sf_dir, "documents").select("doc_id", (fold == 1).alias("held_out"), text.alias("text"))
     model = ppm.train(docs.where("not held_out").select("text"))
-    scored = unigrams.scored(ppm.score(docs.withColumn("training", ~F.col("held_out")), model))
+    docs = docs.withColumn("training", ~F.col("held_out"))
+    at_once = ppm.scorer(model)
+    scored = unigrams.scored(docs, at_once) if at_once else unigrams.scored(ppm.score(docs, model))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -8,7 +8,7 @@ numbers of a shard's own words go back to it, so that no task holds the vocabula
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ def shard_number(made: int) -> int:
     return TaskContext.get().partitionId() << 32 | made
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, scores: Callable[[pa.Array], np.ndarray] | None = None) -> DataFrame:
     """``docs`` without ``text``, with n_tokens, n_known, train_tokens and base_score.
 
     ``docs`` has ``text`` (binary) and ``training`` (boolean). With c the count of a
@@ -54,10 +54,14 @@ def scored(docs: DataFrame) -> DataFrame:
     the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))); n_known counts tokens with
     c > 0. A null text is empty, a null ``training`` means no. An empty table gives
     no rows. Repeated rows are counted, and come back, as often.
-    Other columns are kept, but for those named like the new ones.
+    Other columns are kept, but for those named like the new ones. ``scores`` gives
+    a number for each text of a column, which is added as ``score`` in the same pass.
     """
-    made_here = ("n_tokens", "n_known", "base_score", "train_tokens")
+    made_here = ("n_tokens", "n_known", "base_score", "train_tokens", *(["score"] if scores else []))
     more = [f for f in docs.schema if f.name not in ("text", "training", *made_here)]
+    read = [f.name for f in more]
+    if scores:
+        more.append(StructField("score", DoubleType()))
     names = [f.name for f in more]
     row = StructType([*more, StructField("n tokens", IntegerType())])
     fields = [
@@ -89,8 +93,12 @@ def scored(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            batch_schema = [batch.schema.field(n) for n in names]
-            for other, text, training in zip(batch.select(names).to_pylist(), batch["text"], batch["training"].to_pylist()):
+            batch_schema = [batch.schema.field(n) for n in read]
+            others = batch.select(read).to_pylist()
+            if scores:
+                batch_schema.append(pa.field("score", pa.float64()))
+                others = [other | {"score": value} for other, value in zip(others, scores(batch["text"]).tolist())]
+            for other, text, training in zip(others, batch["text"], batch["training"].to_pylist()):
                 own = np.array([*map(ids.__getitem__, words_of(text.as_py())), ids[END]], dtype="<i4")
                 if training:
                     counts.append(own)
@@ -104,7 +112,7 @@ def scored(docs: DataFrame) -> DataFrame:
         if rows:
             yield shard()
 
-    ordered = docs.select(*names, F.coalesce("training", F.lit(False)).alias("training"), "text")
+    ordered = docs.select(*read, F.coalesce("training", F.lit(False)).alias("training"), "text")
     shards = staged(ordered.mapInArrow(sharded, StructType(fields)), "word-shards")
 
     each = shards.select("shard", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).select("shard", "number", "w.*")
