@@ -44,8 +44,8 @@ START, END, WRONG = 0xFF, 0xFE, 0xFD
 SYMBOLS = 255
 
 # Grams a task holds before it passes them on, 16 bytes each.
-HELD_GRAMS = 4_000_000
-CHUNK_BYTES = 1 << 20
+HELD_GRAMS = 2_000_000
+CHUNK_BYTES = 1 << 18
 
 # A model of up to so many rows, counted first, is broadcast (at most 30 bytes each).
 BROADCAST_ROWS = 4_000_000

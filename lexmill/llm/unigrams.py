@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, Lo
 from lexmill.llm.common import partitions, staged
 
 # A shard ends with the text that reaches so many tokens, or distinct words.
-SHARD_TOKENS = 2_000_000
-SHARD_WORDS = 500_000
+SHARD_TOKENS = 1_000_000
+SHARD_WORDS = 250_000
 
 # The end of a text; no word is empty.
 END = b""
