@@ -333,6 +333,17 @@ def test_hot_terms_take_several_lines(spark):
     assert {r.doc_id for r in back.collect()} == set(range(250))
 
 
+def test_long_lines_are_split_once(spark):
+    """What is read off a line is read ahead of its postings: a line of many postings costs no more for each."""
+    text = "hot:3\t" + "".join(f"{i}:2:9<1, {i}>; " for i in range(20_000)) + "7; x; 8:1:4<>;  9:1:2<3>"
+    rows = lx.from_posting_lines(spark.createDataFrame([(text,), ("no line",)], "line string"))
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate ", 1)
+    assert "line#" not in above and "line#" not in below.split("\n", 1)[0]
+    found = [(r.term, r.df, r.doc_id, r.tf, r.doc_len, r.positions) for r in rows.collect()]
+    assert found[:20_000] == [("hot", 3, i, 2, 9, [1, i]) for i in range(20_000)]
+    assert found[20_000:] == [("hot", 3, 7, None, None, None), ("hot", 3, 8, 1, 4, None), ("hot", 3, 9, 1, 2, [3])]
+
+
 def test_load_equals_built(spark, news, tmp_path):
     path = str(tmp_path / "ix")
     built = lx.build_index(news, path, ["the"], shards=3)
