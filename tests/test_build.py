@@ -112,3 +112,40 @@ def test_entry_file_without_the_training_data_operators(tmp_path):
         (copy / "corpus_pipeline.py").unlink(missing_ok=True)
     (copy / "lexmill" / "plans" / "search.py").unlink()  # what is not optional must be there
     assert run().returncode != 0
+
+
+def test_documents_of_one_row_group_are_spread(spark, tmp_path):
+    """A row group is read by one task, however many splits its file has."""
+    import __spark_entry__ as entry_file
+
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 30).parquet(str(tmp_path / "documents.parquet"))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "8k")
+    try:
+        docs = entry_file.documents(spark, str(tmp_path))
+        sizes = [r["count"] for r in docs.groupBy(F.spark_partition_id()).count().collect()]
+        assert sorted(docs.collect()) == sorted(rows.collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 4000 and max(sizes) * cores <= 2 * 4000
+
+
+def test_kind_arrays_are_those_of_the_column_functions(spark, monkeypatch):
+    from lexmill.operators import postings as ops
+    from lexmill.operators.tokens import kept_words, term_arrays
+
+    order = random.Random(5)
+    parts = ["a.", "b", "(b)", "c:,", "d'e", "ü,", "x.y.", "the", "\x0bz", "z\x0b.", "_", "[_]", "\n", "B", "f g"]
+    texts = ["", None, "the the", "one", *(" ".join(order.choices(parts, k=order.randrange(30))) for _ in range(200))]
+    docs = spark.createDataFrame([(i % 190, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    kept = kept_words(docs, ["the"])
+    plain = ops.with_entries(ops.with_biwords(ops.with_uniwords(term_arrays(kept))))
+    columns = ["doc_id", "doc_len", "entries", F.sort_array("uniwords"), F.sort_array("biwords")]
+    expected = sorted(map(str, plain.select(columns).collect()))
+    for tokens in (7, 500_000):
+        monkeypatch.setattr(ops, "CHUNK_TOKENS", tokens)
+        assert sorted(map(str, ops.kind_arrays(kept, ops.ARRAY_COLUMNS).select(columns).collect())) == expected
