@@ -10,7 +10,7 @@ from lexmill.operators.lookup import need_positions, with_df
 from lexmill.operators.pruning import pruned, worth_pruning
 from lexmill.operators.queries import Queries, TermSide, as_queries, query_terms
 from lexmill.operators.ranking import EXACT_DIGITS, top_hits
-from lexmill.operators.substring import substring_terms
+from lexmill.operators.substring import mask_rows, substring_sums, substring_terms
 
 # Result limits, and the least positive score the reference
 # variant reports (below it a score is printed with an exponent and lost).
@@ -49,25 +49,30 @@ def bm25(
     if match == "exact":
         side = with_df(index, TermSide(counted, index.shards))
     elif match == "substring":
-        side = TermSide(substring_terms(index.terms, counted), index.shards)
+        many = mask_rows(counted)
+        side = None if many else TermSide(substring_terms(index.terms, counted), index.shards)
     else:
         raise ValueError(f"match must be 'exact' or 'substring', not {match!r}")
     corpus = (index.stats if stats is None else stats.first()).asDict()
     avg_len = corpus["avg_len"] if variant == REFERENCE else corpus.get("avg_len_exact", corpus["avg_len"])
 
-    def weight(tf: str, doc_len: str) -> Column:
+    def weight(tf: str, doc_len: str, n: Column | None = None) -> Column:
         n_docs, average = F.lit(corpus["n_docs"]), F.lit(float(avg_len or 1))
-        return F.col("n") * bm25_weight(F.col(tf), F.col("df"), F.col(doc_len), n_docs, average, k1, b, variant)
+        return (F.col("n") if n is None else n) * bm25_weight(F.col(tf), F.col("df"), F.col(doc_len), n_docs, average, k1, b, variant)
 
-    def summed(matched: DataFrame) -> DataFrame:
+    def summed(matched: DataFrame, weight: Column = weight("tf", "doc_len")) -> DataFrame:
         # rounding a sum below zero to zero does not make it a hit of the reference variant
-        total = F.sum(weight("tf", "doc_len"))
+        total = F.sum(weight)
         return matched.groupBy("query_id", "doc_id").agg(F.round(total, EXACT_DIGITS).alias("score"), (total < 0).alias("below"))
 
     k = DEFAULT_K[variant] if k is None else k
     monotone = variant == STANDARD and match == "exact" and k > 0 and k1 >= 0 and 0 <= b <= 1 and index.maxima is not None
     if monotone and (worth_pruning(index, side) if prune is None else prune):
         scored = pruned(index, side, weight("max_tf", "min_len"), summed, k)
+    elif side is None:
+        keys = ["shard", "term"] if index.shards else ["term"]
+        weighted = index.postings.join(index.terms, keys).select("doc_id", "term", weight("tf", "doc_len", F.lit(1)).alias("weight"))
+        scored = summed(substring_sums(weighted, many), F.col("total"))
     else:
         scored = summed(side.join(index.postings))
     ties = None

@@ -19,7 +19,7 @@ from lexmill.session import local_copy, salted, small_rows, stage
 PUSHED_VALUES = 500
 
 # Largest measured side that is broadcast, and what a row takes beside its term.
-BROADCAST_BYTES = 128 << 20
+BROADCAST_BYTES = 16 << 20
 ROW_BYTES = 128
 
 Queries = str | list[str] | DataFrame

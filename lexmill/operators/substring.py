@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lexmill.session import local_copy, salted, small_rows
@@ -13,6 +17,13 @@ from lexmill.session import local_copy, salted, small_rows
 INLINE_TERMS = 64
 GRAM = 3
 
+# Up to so many query rows, of so many queries, are tested on the postings themselves, a batch at a time.
+MASK_TERMS = 20_000
+MASK_QUERIES = 1_000
+
+# Counts of terms and queries that a worker remembers before it starts anew (some 60 MB).
+REMEMBERED = 16_000_000
+
 
 def substring_terms(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
     """(query_id, n, term, df): dictionary terms that contain a query term.
@@ -60,3 +71,62 @@ def _by_gram(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
     parts = query_terms.select("query_id", "n", F.col("term").alias("part"), F.substring("term", 1, GRAM).alias("gram"))
     grams, parts = salted(grams, parts, "term")
     return grams.join(parts, ["gram", "salt"]).where(F.col("term").contains(F.col("part")))
+
+
+def mask_rows(query_terms: DataFrame) -> list[Row] | None:
+    """Query rows that are too many for one scan of the dictionary, but few enough for ``substring_sums``."""
+    rows = small_rows(query_terms, MASK_TERMS)
+    if rows is None or len(rows) <= INLINE_TERMS:
+        return None
+    return rows if len({row.query_id for row in rows}) <= MASK_QUERIES else None
+
+
+def substring_sums(weighted: DataFrame, rows: list[Row]) -> DataFrame:
+    """(query_id, doc_id, total): of ``weighted(doc_id, term, weight)``, sums over the terms that contain a query term.
+
+    Short query terms are part of most index terms, so the pairs of a query and a matched
+    term, and of a query and a matched posting, are many times the postings. They are never
+    rows here: postings are dealt by document, and an Arrow batch of them is tested for every
+    query term and summed up as a matrix of documents and queries.
+    """
+    parts = sorted({row.term for row in rows})
+    ids = sorted({row.query_id for row in rows})
+    query = {q: i for i, q in enumerate(ids)}
+    place = {part: i for i, part in enumerate(parts)}
+    asked = np.zeros((len(parts), len(ids)), np.float32)  # small whole numbers, so products are exact
+    for row in rows:
+        asked[place[row.term], query[row.query_id]] += row.n
+
+    def counted(terms: list[str]) -> np.ndarray:
+        """For each term and query, how many parts of the query the term contains."""
+        listed, found = pa.array(terms, pa.string()), np.empty((len(parts), len(terms)), np.float32)
+        for i, part in enumerate(parts):
+            found[i] = pc.match_substring(listed, part).to_numpy(zero_copy_only=False)
+        return found.T @ asked
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column("term").dictionary_encode()
+            terms = coded.dictionary.to_pylist()
+            if len(known) * len(ids) > REMEMBERED:
+                known.clear()
+            new = [t for t in terms if t not in known]
+            known.update(zip(new, counted(new)))
+            held = np.array([known[t] for t in terms])
+            docs = batch.column("doc_id").dictionary_encode(null_encoding="encode")
+            doc, term = (a.indices.to_numpy(zero_copy_only=False) for a in (docs, coded))
+            weights = batch.column("weight").to_numpy(zero_copy_only=False)
+            order = np.argsort(doc, kind="stable")
+            starts = np.flatnonzero(np.append(True, np.diff(doc[order]) != 0))
+            times = held[term[order]]
+            hit = np.nonzero(np.add.reduceat(times, starts, axis=0))
+            totals = np.add.reduceat(times * weights[order][:, None], starts, axis=0)[hit]
+            ids_of = docs.dictionary.take(pa.array(doc[order][starts][hit[0]]))
+            asking = pa.array(np.array(ids, np.int64)[hit[1]])
+            yield pa.record_batch([asking, ids_of, pa.array(totals)], names=["query_id", "doc_id", "total"])
+
+    dealt = weighted.select("doc_id", "term", "weight").repartition("doc_id").sortWithinPartitions("doc_id")
+    return dealt.mapInArrow(add_up, "query_id long, doc_id long, total double")

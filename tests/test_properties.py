@@ -168,3 +168,23 @@ def test_normalization_equals_the_single_steps(spark):
     assert [(r.raw, r.term) for r in rows if r.term != expected(r.raw)] == []
     long_run = spark.range(1).select(normalize_term(F.concat(F.lit("a"), F.repeat(F.lit("\x0b"), 200000), F.lit("b"))))
     assert len(long_run.first()[0]) == 200002
+
+
+def test_many_substring_terms_are_summed_by_document(spark, corpus, monkeypatch):
+    """Without a row for each pair of a query and a matched term, and with the same hits as by such rows."""
+    _, index = corpus
+    parts = [f"{a}{b}" for a in "abcdefghijklmnopqrst0123456789" for b in ["", "a", "1"]]
+    batch = spark.createDataFrame([(i, " ".join(parts[i::3] * (1 + i % 2))) for i in range(4)], "query_id long, q string")
+
+    def hits(variant):
+        found = lx.bm25(index, batch, match="substring", variant=variant)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return sorted((r.query_id, r.rank, r.doc_id, round(r.score, 6)) for r in found.collect()), plan
+
+    for variant in ("standard", "reference"):
+        got, plan = hits(variant)
+        assert got and "MapInArrow" in plan
+        monkeypatch.setattr("lexmill.operators.substring.MASK_QUERIES", 0)
+        rows, plan = hits(variant)
+        assert "MapInArrow" not in plan and got == rows
+        monkeypatch.undo()
