@@ -6,18 +6,19 @@ the whole text; Viterbi finds the best tags. It learns from the base spans of a
 bounded sample of texts (``TRAIN_TEXTS`` with base spans, as many without), and
 finds what stands and looks like them without matching a pattern.
 
-Tagging is local by a hard constraint: a secret has a token of 8 or more
-characters with a digit, and begins at most ``BEFORE`` tokens before it. All other
-tokens are outside for certain, so that the chain falls apart into windows around
-such tokens, and decoding the windows is decoding the whole text.
+Every token of a text is tagged, in one chain from its first token to its last. What
+a token adds to the scores depends on features that many tokens share, so it is looked
+up by number; and Viterbi only runs where the best path can leave O at all, by a bound
+that is exact (``Field.open_runs``). It learns from runs of tokens: those around spans and
+tokens that look like secrets, and some of the others.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log2
 
 import numpy as np
@@ -46,8 +47,8 @@ HINTS = frozenset(
 )
 
 TRAIN_TEXTS = 1500
-BEFORE = 3
-LOOK_BACK = 200  # characters
+BEFORE = 3  # tokens of a training run before the one it is made for
+PLAIN_RUNS = 2  # training runs of a text that are made for any of its tokens
 EPOCHS = 8
 DROPPED = 0.3  # of the features of a token, each time it is met in training, so that no clue is indispensable
 TAGS = 3
@@ -55,7 +56,13 @@ O, B, I = range(TAGS)  # noqa: E741
 
 _TOKEN = re.compile(r"""[^\s"'`<>()\[\]{},;]+""")
 _DIGIT = re.compile(r"[0-9]")
-_BREAK = frozenset(" \t\n\r\x0b\x0c\"'`<>()[]{},;")
+_SIGN = re.compile("[=:]")
+_PLAIN = re.compile("(?:(?P<lower>[a-zß-öø-ÿ]+)|(?P<capitalized>[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)|(?P<upper>[A-ZÀ-ÖØ-Þ]{2,}))[.!?$%&*#]*")
+_C_LOG_C = [c * log2(c) if c else 0.0 for c in range(64)]
+_REPEATED = re.compile(r"(.)\1+")
+
+# Tokens a task remembers before it starts anew (some 60 MB).
+REMEMBERED = 300_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -74,39 +81,18 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-# --- windows and features ---------------------------------------------------------------
+# --- tokens and features ----------------------------------------------------------------
 
 
 def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of tokens (start, end) around every token of 8 or more characters with a digit."""
-    found: list[list[tuple[int, int]]] = []
-    last = -1
-    for digit in _DIGIT.finditer(text):
-        at = digit.start()
-        if at < last:
-            continue
-        start = at
-        while start > 0 and text[start - 1] not in _BREAK and not text[start - 1].isspace():
-            start -= 1
-        token = _TOKEN.match(text, start)
-        last = token.end()
-        if last - start < 8:
-            continue
-        around = [(start, last)]
-        head = max(0, start - LOOK_BACK)
-        earlier = [m.span() for m in _TOKEN.finditer(text, head, start)]
-        if head and earlier and earlier[0][0] == head:
-            del earlier[0]  # it begins further back
-        around = earlier[-BEFORE:] + around
-        for m in _TOKEN.finditer(text, last):
-            around.append(m.span())
-            break
-        if found and found[-1][-1][0] >= around[0][0]:
-            known = found[-1]
-            known += [t for t in around if t[0] > known[-1][0]]
-        else:
-            found.append(around)
-    return found
+    """The chains of a text, as tokens (start, end): one of all its tokens, if it has any."""
+    whole = [m.span() for m in _TOKEN.finditer(text)]
+    return [whole] if whole else []
+
+
+def parted(text: str) -> tuple[list[str], list[str]]:
+    """The tokens, and what is before the first, between them and after the last."""
+    return _TOKEN.findall(text), _TOKEN.split(text)
 
 
 def text_features(text: str) -> list[str]:
@@ -123,43 +109,72 @@ def word_class(token: str) -> str:
     return token if len(token) <= 2 and not token.isalnum() else "-"
 
 
+def entropy_step(token: str) -> int:
+    """The entropy of the characters of a token, in steps of half a bit."""
+    n = len(token)
+    if n < len(_C_LOG_C):
+        repeated = sum(map(_C_LOG_C.__getitem__, map(token.count, set(token))))
+    else:
+        repeated = sum(c * log2(c) for c in Counter(token).values())
+    return int(2 * (log2(n) - repeated / n) + 1e-9)
+
+
+def plain_key(token: str) -> tuple | None:
+    """What the features of a plain word depend on: 3 to 15 characters, letters of Latin-1 in lower case, in upper
+    case, or capitalized, and then marks other than those of an assignment. None for other tokens."""
+    found = 3 <= len(token) < 16 and _PLAIN.fullmatch(token)
+    if not found:
+        return None
+    hexadecimal = not token.strip("0123456789abcdef")
+    return len(token), entropy_step(token), found.lastgroup, token[found.end(found.lastgroup) :], token.lower() in HINTS, hexadecimal
+
+
 def token_features(token: str) -> list[str]:
     n = len(token)
-    counts = Counter(token)
-    entropy = -sum(c / n * log2(c / n) for c in counts.values())
-    digits = sum(c.isdigit() for c in token)
-    kinds = "".join(
-        mark
-        for mark, test in (("a", str.islower), ("A", str.isupper), ("9", str.isdigit))
-        if any(map(test, token))
-    ) + "".join(c for c in "+/_.=-:@%&#?" if c in token)
-    shape = re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in token[:64]))
-    head = re.split(r"[=:]", token, maxsplit=1)[0].strip("\"'").lower() if re.search("[=:]", token) else ""
+    size = "long" if n >= 16 else "short"
+    if token.isascii() and token.isalpha() and token.islower():
+        digits, kinds, turns, head = 0, "a", 1, ""
+    else:
+        digits = sum(map(str.isdigit, token))
+        kinds = "".join(
+            mark
+            for mark, test in (("a", str.islower), ("A", str.isupper), ("9", str.isdigit))
+            if any(map(test, token))
+        ) + "".join(c for c in "+/_.=-:@%&#?" if c in token)
+        turns = len(_REPEATED.sub(r"\1", "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in token[:64])))
+        head = _SIGN.split(token, maxsplit=1)[0].strip("\"'").lower() if _SIGN.search(token) else ""
     return [
         f"length {min(n.bit_length() * 2 + (n >> max(n.bit_length() - 2, 0) & 1), 14)}",
         f"kinds {kinds}",
-        f"entropy {int(entropy * 2)} {'long' if n >= 16 else 'short'}",
-        f"digits {int(10 * digits / n)} {'long' if n >= 16 else 'short'}",
-        f"turns {min(len(shape), 24) // 3}",
+        f"entropy {entropy_step(token)} {size}",
+        f"digits {int(10 * digits / n)} {size}",
+        f"turns {min(turns, 24) // 3}",
         f"assigned {'hint' if head in HINTS else bool(head)}",
         f"word {word_class(token)}",
-        f"hexadecimal {all(c in '0123456789abcdef' for c in token)} {n >= 16}",
+        f"hexadecimal {not token.strip('0123456789abcdef')} {n >= 16}",
     ]
 
 
-def window_features(text: str, window: list[tuple[int, int]], of_text: list[str]) -> list[list[str]]:
-    words = [text[a:b] for a, b in window]
-    own = [token_features(w) for w in words]
+def gap_feature(gap: str) -> str:
+    return f"between {gap.strip()[:3]}"
+
+
+def near_features(step: int, features: list[str]) -> list[str]:
+    """What a token with these features is to the one that many steps before or after it."""
+    return [f"{step} {features[6]}", f"{step} {features[1]}"]
+
+
+STEPS = (-2, -1, 1)
+
+
+def feature_rows(words: list[str], gaps: list[str], of_text: list[str], places: range) -> list[list[str]]:
+    """Features of the tokens at some places of a text."""
+    own = {i: token_features(words[i]) for i in range(max(0, places.start - 2), min(len(words), places.stop + 1))}
     rows = []
-    for i, features in enumerate(own):
-        row = ["bias", *features, *of_text]
-        row.append(f"between {text[window[i - 1][1] : window[i][0]].strip()[:3] if i else '^'}")
-        for step in (-2, -1, 1):
-            if 0 <= i + step < len(words):
-                row.append(f"{step} word {word_class(words[i + step])}")
-                row.append(f"{step} {own[i + step][1]}")
-            else:
-                row.append(f"{step} none")
+    for i in places:
+        row = ["bias", *own[i], *of_text, gap_feature(gaps[i]) if i else "between ^"]
+        for step in STEPS:
+            row += near_features(step, own[i + step]) if 0 <= i + step < len(words) else [f"{step} none"]
         rows.append(row)
     return rows
 
@@ -172,9 +187,11 @@ def window_tags(window: list[tuple[int, int]], spans: list[tuple[int, int, int]]
             merged[-1][1] = max(merged[-1][1], end)
         else:
             merged.append([start, end])
+    ends = [end for _, end in merged]
     tags, begun = [], None
     for a, b in window:
-        over = next((i for i, (s, e) in enumerate(merged) if s < b and a < e), None)
+        first = bisect_right(ends, a)
+        over = first if first < len(merged) and merged[first][0] < b else None
         tags.append(O if over is None else I if over == begun else B)
         begun = over
     return tags
@@ -193,6 +210,10 @@ class Field:
         known = [[self.names[f] for f in row if f in self.names] for row in rows]
         return np.array([self.weights[k].sum(axis=0) for k in known]).reshape(-1, TAGS)
 
+    def weight(self, features: list[str]) -> np.ndarray:
+        """What some features add to the score of each tag."""
+        return self.weights[[self.names[f] for f in features if f in self.names]].sum(axis=0)
+
     def decode(self, scores: np.ndarray) -> list[int]:
         """Viterbi."""
         best, back = self.moves[O] + scores[0], []
@@ -207,6 +228,25 @@ class Field:
             tags.append(tag)
         return tags[::-1]
 
+    def open_runs(self, scores: np.ndarray) -> list[tuple[int, int]]:
+        """Runs [first, end) of a chain outside of which every token of a best path is O.
+
+        A run of other tags changes the score of a path by no more than the sum of ``gain`` over its
+        tokens and ``end``; where the largest such sum of the runs through a token is
+        negative, a path is better with O there.
+        """
+        stay = self.moves[O, O]
+        inside = max(self.moves[O, B], self.moves[B:, B:].max()) - stay
+        end = self.moves[B:, O].max() - stay
+        sums = np.append(0.0, np.cumsum(scores[:, B:].max(axis=1) - scores[:, O] + inside))
+        most = np.maximum.accumulate(sums[:0:-1])[::-1] - np.minimum.accumulate(sums[:-1])
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], most + end >= -1e-6, [False]]).astype(np.int8)))
+        return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+    def best_tags(self, scores: np.ndarray) -> list[tuple[int, list[int]]]:
+        """Best tags of a chain: (first, tags) of some runs, all other tokens are O."""
+        return [(first, self.decode(scores[first:end])) for first, end in self.open_runs(scores)]
+
     def expected(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of tags, and expected numbers of moves, by forward and backward sums."""
         n = len(scores)
@@ -227,8 +267,73 @@ class Field:
         return tags, moves
 
 
+class Kinds(dict):
+    """The number of a token's or gap's kind: those with the same features have one, and a row of ``table``."""
+
+    def __init__(self, key_of: Callable[[str], tuple | None], features_of: Callable[[str], list[list[str]]], field: Field):
+        super().__init__()
+        self.key_of, self.features_of, self.field = key_of, features_of, field
+        self.known: dict[tuple, int] = {}
+        self.rows: list[np.ndarray] = []
+        self.table = np.empty((0, 0, TAGS))
+
+    def __missing__(self, value: str) -> int:
+        short = self.key_of(value)
+        number = self.known.get(short) if short else None
+        if number is None:
+            groups = self.features_of(value)
+            key = tuple(map(tuple, groups))
+            number = self.known.get(key)
+            if number is None:
+                number = self.known[key] = len(self.rows)
+                self.rows.append(np.array([self.field.weight(features) for features in groups]))
+            if short:
+                self.known[short] = number
+        self[value] = number
+        return number
+
+    def numbers(self, values: list[str]) -> np.ndarray:
+        """Numbers of values; ``table[number]`` has the weights of each group of features."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = np.fromiter(map(self.__getitem__, values), np.int64, len(values))
+        if len(self.table) < len(self.rows):
+            self.table = np.array(self.rows)
+        return found
+
+
+class Scorer:
+    """Scores of all tokens of a text: those of ``Field.scores`` for ``feature_rows``, by numbers of kinds."""
+
+    def __init__(self, field: Field):
+        def of_token(token: str) -> list[list[str]]:
+            own = token_features(token)
+            return [["bias", *own], *(near_features(step, own) for step in STEPS)]
+
+        self.field = field
+        self.tokens = Kinds(plain_key, of_token, field)
+        self.gaps = Kinds(lambda gap: None, lambda gap: [[gap_feature(gap)]], field)
+        self.first = field.weight(["between ^"])
+        self.none = [field.weight([f"{step} none"]) for step in STEPS]
+
+    def scores(self, words: list[str], gaps: list[str], of_text: list[str]) -> np.ndarray:
+        number, gap = self.tokens.numbers(words), self.gaps.numbers(gaps[:-1])
+        scores = self.tokens.table[number, 0] + self.field.weight(of_text)
+        scores[1:] += self.gaps.table[gap[1:], 0]
+        scores[0] += self.first
+        for k, step in enumerate(STEPS):
+            near = self.tokens.table[number, k + 1]
+            if step < 0:
+                scores[-step:] += near[:step]
+                scores[:-step] += self.none[k]
+            else:
+                scores[:-step] += near[step:]
+                scores[-step:] += self.none[k]
+        return scores
+
+
 def fit(chains: list[tuple[list[list[str]], list[int]]], seed: int = 1) -> Field:
-    """A field fitted by stochastic gradient ascent (AdaGrad) on the likelihood of tagged windows."""
+    """A field fitted by stochastic gradient ascent (AdaGrad) on the likelihood of tagged runs."""
     counts = Counter(f for rows, _ in chains for row in rows for f in row)
     names = {f: i for i, f in enumerate(sorted(f for f, c in counts.items() if c >= 3))}
     moves = np.zeros((TAGS, TAGS))
@@ -258,12 +363,33 @@ def fit(chains: list[tuple[list[list[str]], list[int]]], seed: int = 1) -> Field
     return field
 
 
+def training_runs(words: list[str], tags: list[int]) -> list[range]:
+    """Runs of tokens to learn from: around every token in a span, or of 8 or more characters with a digit, and
+    around ``PLAIN_RUNS`` others at even distances. A run begins and ends outside of spans."""
+    places = [i for i, w in enumerate(words) if tags[i] != O or len(w) >= 8 and _DIGIT.search(w)]
+    places += [(2 * k + 1) * len(words) // (2 * PLAIN_RUNS) for k in range(PLAIN_RUNS)] if words else []
+    runs: list[list[int]] = []
+    for i in sorted(places):
+        start, end = max(0, i - BEFORE), min(len(words), i + 2)
+        while start and tags[start - 1] != O:
+            start -= 1
+        while end < len(words) and tags[end] != O:
+            end += 1
+        if runs and start <= runs[-1][1]:
+            runs[-1] = [min(start, runs[-1][0]), max(end, runs[-1][1])]
+        else:
+            runs.append([start, end])
+    return [range(start, end) for start, end in runs]
+
+
 def training_chains(texts: list[str]) -> list[tuple[list[list[str]], list[int]]]:
     chains = []
     for text in texts:
-        spans, of_text = base_spans(text), text_features(text)
+        spans, of_text, (words, gaps) = base_spans(text), text_features(text), parted(text)
         for window in windows(text):
-            chains.append((window_features(text, window, of_text), window_tags(window, spans)))
+            tags = window_tags(window, spans)
+            for run in training_runs(words, tags):
+                chains.append((feature_rows(words, gaps, of_text, run), tags[run.start : run.stop]))
     return chains
 
 
@@ -295,23 +421,27 @@ def train(docs: DataFrame, train_texts: int = TRAIN_TEXTS) -> Field | None:
 # --- scanning ---------------------------------------------------------------------------
 
 
-def model_spans(text: str, field: Field, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def model_spans(text: str, scorer: Scorer, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """What the field tags as secret and no base span overlaps."""
-    found, of_text = [], None
+    words, gaps = parted(text)
+    if not words:
+        return []
+    tagged = scorer.field.best_tags(scorer.scores(words, gaps, text_features(text)))
+    if not any(tag != O for _, tags in tagged for tag in tags):
+        return []
+    places = windows(text)[0]
     starts = [s for s, _, _ in base]
-    for window in windows(text):
-        of_text = of_text or text_features(text)
-        tags = field.decode(field.scores(window_features(text, window, of_text)))
+    found = []
+    for first, tags in tagged:
         spans: list[list[int]] = []
-        for (a, b), tag in zip(window, tags):
+        for (a, b), tag in zip(places[first:], tags):
             if tag == B:
                 spans.append([a, b])
             elif tag == I:
                 spans[-1][1] = b
         for a, b in spans:
-            token = any(t[1] - t[0] >= 8 and _DIGIT.search(text, *t) for t in window if a <= t[0] < b)
             near = base[max(0, bisect_left(starts, a) - 4) : bisect_left(starts, b)]
-            if token and not any(s < b and a < e for s, _, e in near):
+            if not any(s < b and a < e for s, _, e in near):
                 found.append((a, 3, b))
     return found
 
@@ -326,11 +456,12 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base", "spans"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = field and Scorer(field)
         for batch in batches:
             rows = []
             for text in tokens.texts_of(batch.column(1)):
                 base = base_spans(text)
-                more = model_spans(text, field, base) if field else []
+                more = model_spans(text, scorer, base) if scorer else []
                 kinds = [kind for _, kind, _ in base]
                 rows.append((*(kinds.count(k) for k in range(3)), joined(base), joined(sorted(base + more))))
             columns = list(zip(*rows)) or [[]] * 5
