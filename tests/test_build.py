@@ -149,3 +149,25 @@ def test_kind_arrays_are_those_of_the_column_functions(spark, monkeypatch):
     for tokens in (7, 500_000):
         monkeypatch.setattr(ops, "CHUNK_TOKENS", tokens)
         assert sorted(map(str, ops.kind_arrays(kept, ops.ARRAY_COLUMNS).select(columns).collect())) == expected
+
+
+def test_document_arrays_are_those_of_kept_words(spark, monkeypatch):
+    """Texts cut in Arrow batches, once per distinct token, give what the column functions give."""
+    from lexmill.operators import postings as ops
+    from lexmill.operators import tokens
+
+    order = random.Random(6)
+    parts = ["a.", "b", "(b)", "c:,", "d'e", "ü,", "x.y.", "the", "THE", "\x0bthe", "\x0bz", "z\x0b.", "_", "[_]", "\n", "\r", "q\u2028r", "é", "!\"", "B", "f\tg", "İx"]
+    texts = ["", None, "the the", "one", *(" ".join(order.choices(parts, k=order.randrange(30))) for _ in range(200))]
+    docs = spark.createDataFrame([(i % 190 or None, t, parts[i % 9]) for i, t in enumerate(texts)], "doc_id long, text string, title string").coalesce(2)
+    columns = ["doc_id", "doc_len", "entries", "uniwords", "biwords"]
+    for source in (docs, docs.drop("title")):
+        for stops, with_id in ((["the", None], False), (None, True)):
+            kept = tokens.kept_words(source, stops, with_id)
+            expected = sorted(map(str, ops.kind_arrays(kept, ops.ARRAY_COLUMNS).select(columns).collect()))
+            for chunk, remembered in ((7, 3), (500_000, 500_000)):
+                monkeypatch.setattr(ops, "CHUNK_TOKENS", chunk)
+                monkeypatch.setattr(ops, "REMEMBERED", remembered)
+                found = ops.document_arrays(source, ops.ARRAY_COLUMNS, stops, with_id)
+                assert sorted(map(str, found.select(columns).collect())) == expected
+                assert "array_remove" not in found._jdf.queryExecution().toString()  # no array of tokens is made per row
