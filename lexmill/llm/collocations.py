@@ -17,6 +17,11 @@ and a phrase goes on only if it is frequent over all shards:
    are few, they are broadcast, and a shard extends anew from its words, so that
    neither indexes nor intervals are shuffled; more are joined to the shards' intervals.
 
+Most pairs of frequent words are rare, so pairs are first counted by a hash (Park, Chen and
+Yu): the counts of its buckets are summed over the shards as bytes, and only pairs whose
+bucket reaches the limit are counted as rows. A bucket counts its pairs at least as often
+as they occur, so none that is frequent is lost, and the counts that follow are exact.
+
 A phrase is known by its two shorter forms, without its last and without its first
 word, so ids are exact and no task needs words again. The frequent phrases get their
 words, and the counts of all their beginnings and ends, by joins with the shorter ones.
@@ -30,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +49,11 @@ SHARD_TOKENS = 2_000_000
 # Frequent phrases of one length that are broadcast, counted first; more are joined.
 BROADCAST_PHRASES = 500_000
 
+# Buckets that pairs are counted by: a power of two, one for at most so many words (and over half as many). A bit of
+# each is broadcast, at most 32 MiB; beyond that, more rare pairs share a bucket with enough others, and are rows.
+BUCKET_WORDS = 128
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 16, 1 << 28
+
 # What ends a piece, and the mark for it, which is then in no word.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"."
@@ -284,10 +295,11 @@ class Level:
         return [self.gids[at[known]], *(c[known] for c in found)]
 
 
-def from_words(index: DataFrame, levels: list, counts_only: bool) -> DataFrame:
+def from_words(index: DataFrame, levels: list, likely: Broadcast, counts_only: bool) -> DataFrame:
     """``FOUND``, or its columns of counts: the extensions of the last of the broadcast levels, made anew from words.
 
-    ``levels`` are those of two and more words; the extensions have one word more.
+    ``levels`` are those of two and more words; the extensions have one word more. Pairs
+    are left out unless the bits ``likely`` have their bucket.
     """
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,6 +311,8 @@ def from_words(index: DataFrame, levels: list, counts_only: bool) -> DataFrame:
                 kind = "<u2" if len(gids) < 1 << 16 else "<i4"
                 sides = [np.frombuffer(side.as_py(), dtype=kind) for side in (left, right)]
                 found = grown(word_phrases(gids, sides[0]), gids, sides[1], True)
+                keep = is_likely(likely.value, *found[:2])
+                found = [c[keep] for c in found]
                 for length, level in enumerate(known, 3):
                     found = grown(level.frequent(found), gids, sides[length % 2 == 0], length % 2 == 0)
                 for at in range(0, len(found[0]), 1 << 18):
@@ -311,6 +325,73 @@ def from_words(index: DataFrame, levels: list, counts_only: bool) -> DataFrame:
     return index.mapInArrow(extend, "prefix long, suffix long, size long" if counts_only else FOUND)
 
 
+# --- pairs counted by a hash ------------------------------------------------------------------
+
+
+def buckets_of(first: np.ndarray, second: np.ndarray, buckets: int) -> np.ndarray:
+    """A hash of pairs of ids; ``buckets`` is a power of two."""
+    odd, other = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = first.astype(np.uint64) * odd
+    mixed = ((mixed ^ (mixed >> np.uint64(29))) + second.astype(np.uint64)) * other
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * odd
+    return (mixed >> np.uint64(65 - buckets.bit_length())).astype(np.uint32)
+
+
+def is_likely(bits: np.ndarray, prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Whether the bits of ``likely_pairs`` have the bucket of a pair."""
+    at = buckets_of(prefix, suffix, 8 * len(bits))
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def likely_pairs(index: DataFrame, least: int, buckets: int) -> np.ndarray:
+    """A bit for each bucket, set if the pairs of words in it occur ``least`` times over all shards (255 are enough)."""
+    enough = min(least, 255)
+    chunk = max(buckets >> 10, 1 << 10)  # buckets that are a row
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def rows() -> pa.RecordBatch:
+            bucket, count = np.unique(np.concatenate(held), return_counts=True)
+            count = np.minimum(count, enough).astype(np.uint8)
+            chunks, starts = np.unique(bucket // chunk, return_index=True)
+            packs = []
+            for start, end in zip(starts, [*starts[1:], len(bucket)]):
+                some = np.zeros(chunk, dtype=bool)
+                some[bucket[start:end] % chunk] = True
+                packs.append(zlib.compress(np.packbits(some).tobytes() + count[start:end].tobytes(), 1))
+            return pa.record_batch([pa.array(chunks, pa.int32()), pa.array(packs, pa.binary())], names=["chunk", "counts"])
+
+        for batch in batches:
+            for gids, left in zip(batch["gids"], batch["left"]):
+                gids = np.frombuffer(gids.as_py(), dtype="<i8")
+                before = np.frombuffer(left.as_py(), dtype="<u2" if len(gids) < 1 << 16 else "<i4")
+                number = np.sort(before)  # the number that follows each number of the transform
+                pairs = (before > 0) & (number > 0)
+                held.append(buckets_of(gids[before[pairs] - 1], gids[number[pairs] - 1], buckets))
+                if sum(map(len, held)) >= 2 * SHARD_TOKENS:
+                    yield rows()
+                    held = []
+        if held:
+            yield rows()
+
+    def summed(rows: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, dtype=np.uint16)
+        for counts in rows["counts"]:  # a bit for each bucket that has a count, and these counts
+            own = np.frombuffer(zlib.decompress(counts.as_py()), dtype=np.uint8)
+            some = np.unpackbits(own[: chunk // 8]).astype(bool)
+            total[some] = np.minimum(total[some] + own[chunk // 8 :], enough)
+        bits = np.packbits(total >= enough, bitorder="little").tobytes()
+        return pa.table({"chunk": rows["chunk"][:1], "bits": pa.array([bits], pa.binary())})
+
+    counts = index.select("gids", "left").mapInArrow(counted, "chunk int, counts binary")
+    sums = counts.groupBy("chunk").applyInArrow(summed, "chunk int, bits binary").toArrow()
+    found = np.zeros((buckets // chunk, chunk // 8), dtype=np.uint8)
+    for at, bits in zip(sums["chunk"].to_pylist(), sums["bits"]):
+        found[at] = np.frombuffer(bits.as_py(), dtype=np.uint8)
+    return found.ravel()
+
+
 # --- phrases of all shards --------------------------------------------------------------------
 
 
@@ -344,11 +425,14 @@ def frequent_phrases(docs: DataFrame, least: int, most_words: int = MOST_WORDS)
     levels = [words.withColumn("phrase", F.col("word").cast("string")).drop("word")]
 
     discard(shards)
+    tokens = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = min(max(1 << (tokens // BUCKET_WORDS).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
+    likely = docs.sparkSession.sparkContext.broadcast(likely_pairs(index, least, buckets))
     few: list | None = []  # the levels broadcast so far; None from the first on that is not
     phrases = None
     for length in range(2, most_words + 1):
         if few is not None:
-            found = from_words(index, few, counts_only=True)
+            found = from_words(index, few, likely, counts_only=True)
         else:
             found = stage(extensions(index, phrases, length % 2 == 0, parts), "extensions")
         summed = found.groupBy("prefix", "suffix").agg(F.sum("size").alias("f")).where(F.col("f") >= least)
@@ -361,7 +445,7 @@ def frequent_phrases(docs: DataFrame, least: int, most_words: int = MOST_WORDS)
             few.append(docs.sparkSession.sparkContext.broadcast(tuple(c.to_numpy() for c in columns.columns)))
             continue
         if few is not None:
-            found, few = from_words(index, few, counts_only=False), None
+            found, few = from_words(index, few, likely, counts_only=False), None
         phrases = met(found, level.select("gid", "prefix", "suffix"), ["prefix", "suffix"])
     return levels, totals
 

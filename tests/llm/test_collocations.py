@@ -99,3 +99,15 @@ def test_intervals_are_counts():
         state = dict(zip(grown, zip(low, size, right_low)))
         true = Counter(t for t in (tuple(text[i : i + length].tolist()) for i in range(len(text) - length + 1)) if 0 not in t)
         assert {p: s for p, (_, s, _) in state.items()} == true
+
+
+def test_rare_pairs_are_no_rows(spark, monkeypatch):
+    """Of 10,000 pairs of frequent words, those few that a bucket of the hash can hold often enough are counted as rows."""
+    counted = []
+    monkeypatch.setattr(collocations, "from_words", lambda *a, kept=collocations.from_words, **k: counted.append(kept(*a, **k)) or counted[-1])
+    order = random.Random(3)
+    words = [f"w{i}" for i in range(100)]
+    rows = [("en", " ".join(order.choices(words, k=100))) for _ in range(200)] + [("en", "w1 w2 w3. w2 w3")] * 30
+    expected = plain(rows, 30)
+    assert found_in(spark.createDataFrame(rows, "lang string, text string"), 30) == expected and len(expected) >= 2
+    assert len({(r["prefix"], r["suffix"]) for r in counted[0].collect()}) < 50
