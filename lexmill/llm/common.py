@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.ranks import ranked
 from lexmill.session import stage as staged
 
-__all__ = ["HOT_PART", "LOWER", "UPPER", "WORD", "least_hashes", "lower_ascii", "partitions", "ranked", "staged", "with_group"]
+__all__ = ["HOT_PART", "LOWER", "UPPER", "WORD", "least_hashes", "lower_ascii", "pack", "partitions", "ranked", "staged", "unpack", "with_group"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -29,6 +30,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def pack(data: bytes) -> bytes:
+    """Bytes in fewer bytes, after their number."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """``rows`` inner-joined with ``groups`` (one row per non-null ``key``, of ``size`` rows out of ``total``).
 

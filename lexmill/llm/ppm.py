@@ -16,8 +16,8 @@ and its parent, n, d and what exclusion leaves of the parent, are sums and joins
 
 Scoring looks at whole texts in numpy. Up to ``BROADCAST_ROWS`` grams, counted, the
 model is broadcast. A larger one is cut by the two bytes before a byte: the distinct
-grams of each text go to the piece of the model that knows them, and the parts of a
-text's score are summed. Pieces met often are copied for several tasks.
+grams of each shard of texts go to the piece of the model that knows them, packed, and
+their logarithms come back to the shard. Pieces with many grams are copied for several tasks.
 
 Texts begin after ``ORDER`` start marks. Bytes that occur in no UTF-8 text stand for
 the marks of start and end; in a malformed text they count as byte 0xFD.
@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lexmill.llm.common import partitions, staged
+from lexmill.llm import unigrams
+from lexmill.llm.common import pack, partitions, staged, unpack
 
 ORDER = 5
 START, END, WRONG = 0xFF, 0xFE, 0xFD
@@ -51,6 +52,9 @@ CHUNK_BYTES = 1 << 18
 BROADCAST_ROWS = 4_000_000
 PIECE_ROWS = 1_000_000
 
+# Odd, so that pairs of symbols that are near each other fall into different pieces.
+DEALT = 40_503
+
 LOG10 = np.log(10.0)
 
 
@@ -235,11 +239,16 @@ class Model:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """The base-10 logarithm of the probability of each text of a column."""
-        out = np.zeros(len(column))
-        for keys, rows, lengths in chunks(column):
-            distinct, back = np.unique(keys, return_inverse=True)
-            np.add.at(out, rows, np.add.reduceat(self.logs(distinct)[back], np.cumsum(lengths) - lengths))
-        return out / LOG10
+        return sums_of(column, self.logs)
+
+
+def sums_of(column: pa.Array, logs: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The base-10 logarithm of the probability of each text of a column, from what ``logs`` gives for distinct grams."""
+    out = np.zeros(len(column))
+    for keys, rows, lengths in chunks(column):
+        distinct, back = np.unique(keys, return_inverse=True)
+        np.add.at(out, rows, np.add.reduceat(logs(distinct)[back], np.cumsum(lengths) - lengths))
+    return out / LOG10
 
 
 def sorted_place(rows: pa.Table, place: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -285,70 +294,122 @@ def _scored_at_once(docs: DataFrame, scores: Callable[[pa.Array], np.ndarray]) -
 
 
 def _scored_by_pieces(docs: DataFrame, model: DataFrame, rows: int, piece_rows: int) -> DataFrame:
-    """The same with a model too large to broadcast.
+    """The same with a model too large to broadcast."""
+    whole = docs.select(F.struct("*").alias("row"), "text", F.lit(False).alias("training"))
+    return unigrams.scored(whole, pieces=Pieces(model, rows, piece_rows)).select("row.*", "score")
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted, each once; ``np.unique`` hashes them, which takes some ten times as long."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def distinct_grams(texts: pa.Array) -> np.ndarray:
+    """The grams of a column of texts, each once, sorted."""
+    held: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
+    for keys, _, _ in chunks(texts):
+        held.append(distinct(keys))
+        if sum(map(len, held)) > HELD_GRAMS:
+            held = [distinct(np.concatenate(held))]
+    return distinct(np.concatenate(held))
+
+
+def piece_of(context, pieces: int):
+    """The piece of a context, a number, array or column: by its last two symbols, dealt out."""
+    if isinstance(context, Column):
+        dealt = (low(context, 2) * DEALT).bitwiseAND(F.lit(0xFFFF))
+        return F.shiftright(dealt * pieces, 16).cast("int")
+    return ((context & 0xFFFF) * DEALT & 0xFFFF) * pieces >> 16
+
+
+class Pieces:
+    """A model too large to broadcast, cut into pieces.
 
     A gram, and all shorter forms of it that its cost asks for, belong to the piece of
     the last two symbols of its context. The places of fewer symbols have at most
-    256 x 257 rows and are broadcast.
+    256 x 257 rows and are broadcast. The distinct grams of a shard of texts go to the
+    pieces, one row for a shard and a piece, and their logarithms come back so.
     """
-    spark = docs.sparkSession
-    pieces = -(-rows // piece_rows)
-    piece_of = lambda context: F.pmod(F.xxhash64(low(context, 2)), F.lit(pieces)).cast("int")
-    few = spark.sparkContext.broadcast(model.where("place <= 3").select("place", "gram", *COLUMNS).toArrow())
-    context = F.when(F.col("place") % 2 == 0, F.shiftright("gram", 8)).otherwise(F.col("gram"))
-    own = model.where("place > 3").withColumn("piece", piece_of(context))
-    # a piece that has a large share of all grams is copied, and the grams it is asked for are dealt to the copies
-    full = own.where(F.col("place") == 2 * ORDER)
-    tasks = max(pieces, partitions(spark))
-    total = full.agg(F.sum("n")).first()[0] or 1.0
-    copies = F.greatest(F.ceil(F.sum("n") * tasks / total), F.lit(1)).cast("int")
-    copies = F.broadcast(staged(full.groupBy("piece").agg(copies.alias("copies")), "piece-copies"))  # a row a piece
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
-    known = own.join(copies, "piece", "left").select("piece", every.alias("copy"), "place", "gram", *COLUMNS)
-
-    numbered = staged(docs.withColumn("score row", F.monotonically_increasing_id()), "texts-to-score")
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for keys, rows, lengths in chunks(batch.column(1)):
-                row = np.repeat(rows, lengths)
-                order = np.lexsort((keys, row))
-                keys, row = keys[order], row[order]
-                first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])))
-                times = np.diff(np.append(first, len(keys)))
-                yield pa.record_batch([pa.array(ids[row[first]]), pa.array(keys[first]), pa.array(times)], names=["row", "gram", "times"])
-
-    asked = numbered.select("score row", "text").mapInArrow(distinct, "row long, gram long, times long")
-    asked = asked.withColumn("piece", piece_of(F.shiftright("gram", 8))).join(copies, "piece", "left")
-    copy = F.pmod(F.xxhash64("row"), F.coalesce("copies", F.lit(1))).cast("int")
-    blank = lambda kind: F.lit(None).cast(kind)
-    asked = asked.select(
-        "piece", copy.alias("copy"), blank("byte").alias("place"), "gram", *(blank(t).alias(c) for c, t in COLUMNS.items()), "row", "times"
-    )
-    known = known.withColumns({"row": blank("long"), "times": blank("long")})
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        here, piece = None, None
-        for batch in batches:
-            place = np.stack([batch["piece"].to_numpy(), batch["copy"].to_numpy(), pc.is_valid(batch["row"]).to_numpy(False)])
-            cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if place[:2, a].tolist() != here:
-                    here, held, piece = place[:2, a].tolist(), [], None
-                some = batch.slice(a, b - a)
-                if not place[2, a]:
-                    held.append(some)
-                    continue
-                if piece is None:
-                    own = pa.Table.from_batches(held, batch.schema).select(["place", "gram", *COLUMNS])
-                    piece = Model.of(pa.concat_tables([own, few.value]))
-                logs = piece.logs(some["gram"].to_numpy()) * some["times"].to_numpy()
-                yield pa.record_batch([some["row"], pa.array(logs)], names=["score row", "part"])
-
-    placed = known.unionByName(asked).repartition(2 * tasks, "piece", "copy").sortWithinPartitions("piece", "copy", F.asc_nulls_first("row"))
-    sums = placed.mapInArrow(scored, "`score row` long, part double").groupBy("score row").agg((F.sum("part") / LOG10).alias("score"))
-    return numbered.join(sums, "score row").drop("score row")
+    def __init__(self, model: DataFrame, rows: int | None = None, piece_rows: int = PIECE_ROWS):
+        self.model = model
+        rows = model.count() if rows is None else rows
+        self.tasks = partitions(model.sparkSession)
+        self.pieces = min(max(-(-rows // piece_rows), self.tasks), 1 << 16)
+
+    @property
+    def keys_of(self) -> Callable[[pa.Array], bytes]:
+        """The distinct grams of a column of texts, as the differences of the sorted grams."""
+        return lambda texts: np.diff(distinct_grams(texts), prepend=0).astype("<i8").tobytes()
+
+    @property
+    def added(self) -> Callable[[pa.Array, bytes, list[bytes]], np.ndarray]:
+        """The score of each text of a column, from its grams and what the pieces told of them, in their order."""
+        pieces = self.pieces
+
+        def scores(texts: pa.Array, keys: bytes, told: list[bytes]) -> np.ndarray:
+            known = np.cumsum(np.frombuffer(keys, dtype="<i8"))
+            logs = np.empty(len(known))
+            logs[np.argsort(piece_of(known >> 8, pieces), kind="stable")] = np.concatenate([np.frombuffer(unpack(t), dtype="<f8") for t in told])
+            return sums_of(texts, lambda grams: logs[np.searchsorted(known, grams)])
+
+        return scores
+
+    def told(self, asked: DataFrame) -> DataFrame:
+        """(shard, piece, values): of ``asked(shard, keys)``, the logarithms of the grams of each piece."""
+        model, pieces = self.model, self.pieces
+        few = model.sparkSession.sparkContext.broadcast(model.where("place <= 3").select("place", "gram", *COLUMNS).toArrow())
+        context = F.when(F.col("place") % 2 == 0, F.shiftright("gram", 8)).otherwise(F.col("gram"))
+        own = model.where("place > 3").withColumn("piece", piece_of(context, pieces))
+        # a piece that has a large share of all distinct grams is copied, and the shards that ask it are dealt to the copies
+        sizes = own.where(F.col("place") == 2 * ORDER).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+        total = sizes.agg(F.sum("n")).first()[0] or 1
+        copies = F.greatest(F.ceil(F.col("n") * self.tasks / total), F.lit(1)).cast("int")
+        copies = F.broadcast(staged(sizes.select("piece", copies.alias("copies")), "piece-copies"))  # a row a piece
+        every = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
+        known = own.join(copies, "piece", "left").select("piece", every.alias("copy"), "place", "gram", *COLUMNS)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard, packed in zip(batch["shard"].to_pylist(), batch["keys"]):
+                    keys = np.cumsum(np.frombuffer(unpack(packed.as_py()), dtype="<i8"))
+                    piece = piece_of(keys >> 8, pieces)
+                    order = np.argsort(piece, kind="stable")
+                    keys, piece = keys[order], piece[order]
+                    first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1])) if len(piece) else []
+                    parts = [pack(np.diff(some, prepend=0).tobytes()) for some in np.split(keys, first[1:])]
+                    yield pa.record_batch(
+                        [pa.array([shard] * len(first), pa.int64()), pa.array(piece[first], pa.int32()), pa.array(parts, pa.binary())],
+                        names=["shard", "piece", "asked"],
+                    )
+
+        blank = lambda kind: F.lit(None).cast(kind)
+        copy = F.pmod(F.xxhash64("shard"), F.coalesce("copies", F.lit(1))).cast("int")
+        asked = asked.mapInArrow(cut, "shard long, piece int, asked binary").join(copies, "piece", "left").select(
+            "piece", copy.alias("copy"), blank("byte").alias("place"), blank("long").alias("gram"), *(blank(t).alias(c) for c, t in COLUMNS.items()), "shard", "asked"
+        )
+        known = known.withColumns({"shard": blank("long"), "asked": blank("binary")})
+
+        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            here, piece = None, None
+            for batch in batches:
+                place = np.stack([batch["piece"].to_numpy(), batch["copy"].to_numpy(), pc.is_valid(batch["shard"]).to_numpy(False)])
+                cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+                for a, b in zip(cuts, cuts[1:]):
+                    if a == b:
+                        continue
+                    if place[:2, a].tolist() != here:
+                        here, held, piece = place[:2, a].tolist(), [], None
+                    some = batch.slice(a, b - a)
+                    if not place[2, a]:
+                        held.append(some.select(["place", "gram", *COLUMNS]))
+                        continue
+                    if piece is None:
+                        piece = Model.of(pa.concat_tables([*(pa.Table.from_batches([b]) for b in held), few.value]))
+                    values = [pack(piece.logs(np.cumsum(np.frombuffer(unpack(keys.as_py()), dtype="<i8"))).tobytes()) for keys in some["asked"]]
+                    yield pa.record_batch([some["shard"], some["piece"], pa.array(values, pa.binary())], names=["shard", "piece", "values"])
+
+        placed = known.unionByName(asked).repartition(2 * max(pieces, self.tasks), "piece", "copy")
+        return placed.sortWithinPartitions("piece", "copy", F.asc_nulls_first("shard")).mapInArrow(answer, "shard long, piece int, values binary")

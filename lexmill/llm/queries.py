@@ -149,7 +149,7 @@ def op12_lm_scores(spark, sf_dir):
     model = ppm.train(docs.where("not held_out").select("text"))
     docs = docs.withColumn("training", ~F.col("held_out"))
     at_once = ppm.scorer(model)
-    scored = unigrams.scored(docs, at_once) if at_once else unigrams.scored(ppm.score(docs, model))
+    scored = unigrams.scored(docs, at_once) if at_once else unigrams.scored(docs, pieces=ppm.Pieces(model))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

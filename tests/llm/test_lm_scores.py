@@ -139,3 +139,28 @@ def test_long_text_in_parts(spark, monkeypatch):
     trie = plain_trie(training)
     for i, base in enumerate(plain_base(texts, training)):
         assert found[i]["base_score"] == pytest.approx(base[3]) and found[i]["score"] == pytest.approx(plain_score(trie, texts[i]))
+
+
+def test_pieces_are_asked_once_a_shard(spark, monkeypatch):
+    """One row goes to a piece and one comes back for each shard of texts, not one for each gram of each text."""
+    monkeypatch.setattr(unigrams, "SHARD_TOKENS", 500)
+    docs = queries.table(spark, SF_DIR, "documents").where("doc_id < 60").select("doc_id", F.col("text").cast("binary").alias("text"))
+    docs = docs.withColumn("training", F.col("doc_id") % 3 > 0)
+    model = ppm.train(docs.where("training").select("text"))
+    pieces, told = ppm.Pieces(model, piece_rows=3000), []
+    answers = pieces.told
+
+    def counted(asked):
+        answered = answers(asked).cache()
+        told.append((asked.count(), answered.count(), answered.select("shard", "piece").distinct().count()))
+        return answered
+
+    pieces.told = counted
+    in_pieces = {r["doc_id"]: r for r in unigrams.scored(docs, pieces=pieces).collect()}
+    at_once = {r["doc_id"]: r for r in unigrams.scored(docs, ppm.scorer(model)).collect()}
+    (shards, rows, places), = told
+    assert shards > 1 and rows == places <= shards * pieces.pieces
+    for i, row in at_once.items():
+        assert in_pieces[i]["score"] == pytest.approx(row["score"], rel=1e-9) and in_pieces[i]["n_known"] == row["n_known"]
+        assert in_pieces[i]["base_score"] == pytest.approx(row["base_score"], rel=1e-12)
+    assert len(in_pieces) == docs.count()
