@@ -51,7 +51,8 @@ class TermSide:
 
     Few terms are held as ``rows``, broadcast, and pushed down as filters. More
     are staged and measured, and broadcast up to ``BROADCAST_BYTES``. Beyond
-    that both sides are shuffled.
+    that both sides are shuffled, which the hint sees to: Spark takes the size of a
+    staged table from its files, without the salts, and would broadcast it.
     """
 
     def __init__(self, terms: DataFrame, shards: int | None) -> None:
@@ -86,6 +87,6 @@ class TermSide:
             return table.join(F.broadcast(self.terms), keys)
         # Tables without shards may be bucketed by term, which a salt would undo.
         if not self.shards or "doc_id" not in table.columns:
-            return table.join(self.terms, keys)
+            return table.join(self.terms.hint("merge"), keys)
         postings, terms = salted(table, self.terms, "doc_id")
-        return postings.join(terms, [*keys, "salt"]).drop("salt")
+        return postings.join(terms.hint("merge"), [*keys, "salt"]).drop("salt")
