@@ -72,7 +72,9 @@ def bm25(
     elif side is None:
         keys = ["shard", "term"] if index.shards else ["term"]
         weighted = index.postings.join(index.terms, keys).select("doc_id", "term", weight("tf", "doc_len", F.lit(1)).alias("weight"))
-        scored = summed(substring_sums(weighted, many), F.col("total"))
+        # a document is in one sum, so nothing is left to add up
+        totals = substring_sums(weighted, many)
+        scored = totals.select("query_id", "doc_id", F.round("total", EXACT_DIGITS).alias("score"), (F.col("total") < 0).alias("below"))
     else:
         scored = summed(side.join(index.postings))
     ties = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,8 +22,14 @@ GRAM = 3
 MASK_TERMS = 20_000
 MASK_QUERIES = 1_000
 
-# Counts of terms and queries that a worker remembers before it starts anew (some 60 MB).
-REMEMBERED = 16_000_000
+# Index terms a worker remembers before it starts anew (some 100 MB).
+REMEMBERED = 300_000
+
+# Cells of documents and query terms that are summed up at once.
+CELLS = 1_000_000
+
+# Postings that are looked at together, at least.
+TOGETHER = 50_000
 
 
 def substring_terms(dictionary: DataFrame, query_terms: DataFrame) -> DataFrame:
@@ -81,52 +88,104 @@ def mask_rows(query_terms: DataFrame) -> list[Row] | None:
     return rows if len({row.query_id for row in rows}) <= MASK_QUERIES else None
 
 
+class HeldParts(dict):
+    """The number of each index term; the places of the query terms it contains are in ``held``, from ``starts``.
+
+    Parts are looked up by the substrings of a term that are as long as some part: those of a
+    term are few, whereas a test for every part takes thousands of tests a term.
+    """
+
+    def __init__(self, parts: list[str]):
+        super().__init__()
+        self.place = {part: i for i, part in enumerate(parts)}
+        self.lengths = sorted({len(part) for part in parts})
+        self.held, self.starts = array("i"), array("q", [0])
+
+    def __missing__(self, term: str) -> int:
+        size, get = len(term), self.place.get
+        found = {get(term[i : i + n]) for n in self.lengths if n <= size for i in range(size - n + 1)}
+        found.discard(None)
+        self.held.extend(found)
+        self.starts.append(len(self.held))
+        number = self[term] = len(self.starts) - 2
+        return number
+
+    def of(self, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The parts of some terms, one after the other, and their number in each term."""
+        numbers = np.fromiter(map(self.__getitem__, terms), np.int64, len(terms))
+        starts, held = (np.array(a) for a in (self.starts, self.held))
+        sizes = starts[numbers + 1] - starts[numbers]
+        return held[_runs(starts[numbers], sizes)], sizes
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _whole_documents(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of at least ``rows`` rows, of batches sorted by document; no document is cut."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        docs = table["doc_id"].combine_chunks()
+        last = docs[len(docs) - 1]
+        same = pc.is_null(docs) if not last.is_valid else pc.fill_null(pc.equal(docs, last), False)
+        cut = len(docs) - pc.sum(same).as_py()
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def substring_sums(weighted: DataFrame, rows: list[Row]) -> DataFrame:
     """(query_id, doc_id, total): of ``weighted(doc_id, term, weight)``, sums over the terms that contain a query term.
 
     Short query terms are part of most index terms, so the pairs of a query and a matched
     term, and of a query and a matched posting, are many times the postings. They are never
-    rows here: postings are dealt by document, and an Arrow batch of them is tested for every
-    query term and summed up as a matrix of documents and queries.
+    rows here: postings are dealt by document, the weights of a document are summed by query
+    term, and a matrix of documents and query terms, times one of query terms and queries,
+    gives the totals. Postings without a weight count for nothing.
     """
     parts = sorted({row.term for row in rows})
     ids = sorted({row.query_id for row in rows})
     query = {q: i for i, q in enumerate(ids)}
     place = {part: i for i, part in enumerate(parts)}
-    asked = np.zeros((len(parts), len(ids)), np.float32)  # small whole numbers, so products are exact
-    for row in rows:
-        asked[place[row.term], query[row.query_id]] += row.n
-
-    def counted(terms: list[str]) -> np.ndarray:
-        """For each term and query, how many parts of the query the term contains."""
-        listed, found = pa.array(terms, pa.string()), np.empty((len(parts), len(terms)), np.float32)
-        for i, part in enumerate(parts):
-            found[i] = pc.match_substring(listed, part).to_numpy(zero_copy_only=False)
-        return found.T @ asked
+    wanted = np.array([(place[row.term], query[row.query_id], row.n) for row in rows], np.int64).T
+    at_once = max(CELLS // len(parts), 1)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            coded = batch.column("term").dictionary_encode()
-            terms = coded.dictionary.to_pylist()
-            if len(known) * len(ids) > REMEMBERED:
-                known.clear()
-            new = [t for t in terms if t not in known]
-            known.update(zip(new, counted(new)))
-            held = np.array([known[t] for t in terms])
-            docs = batch.column("doc_id").dictionary_encode(null_encoding="encode")
-            doc, term = (a.indices.to_numpy(zero_copy_only=False) for a in (docs, coded))
-            weights = batch.column("weight").to_numpy(zero_copy_only=False)
-            order = np.argsort(doc, kind="stable")
-            starts = np.flatnonzero(np.append(True, np.diff(doc[order]) != 0))
-            times = held[term[order]]
-            hit = np.nonzero(np.add.reduceat(times, starts, axis=0))
-            totals = np.add.reduceat(times * weights[order][:, None], starts, axis=0)[hit]
-            ids_of = docs.dictionary.take(pa.array(doc[order][starts][hit[0]]))
-            asking = pa.array(np.array(ids, np.int64)[hit[1]])
-            yield pa.record_batch([asking, ids_of, pa.array(totals)], names=["query_id", "doc_id", "total"])
-
-    dealt = weighted.select("doc_id", "term", "weight").repartition("doc_id").sortWithinPartitions("doc_id")
+        known, asking = HeldParts(parts), np.array(ids, np.int64)
+        asked = np.zeros((len(parts), len(ids)))
+        np.add.at(asked, (wanted[0], wanted[1]), wanted[2])
+        asks = (asked > 0).astype(np.float32)
+        for table in _whole_documents(batches, TOGETHER):
+            terms, docs = (table[c].combine_chunks().dictionary_encode(null_encoding="encode") for c in ("term", "doc_id"))
+            if len(known) > REMEMBERED:
+                known = HeldParts(parts)
+            held, sizes = known.of(terms.dictionary.to_pylist())
+            doc, term = (a.indices.to_numpy(zero_copy_only=False) for a in (docs, terms))
+            weight = table["weight"].to_numpy()
+            begins = np.cumsum(sizes) - sizes
+            for first in range(0, len(docs.dictionary), at_once):
+                # a document's rows are side by side
+                some = slice(*np.searchsorted(doc, [first, first + at_once]))
+                n = min(at_once, len(docs.dictionary) - first)
+                each = sizes[term[some]]
+                part = held[_runs(begins[term[some]], each)]
+                cell = np.repeat(doc[some].astype(np.int64) - first, each) * len(parts) + part
+                sums = np.bincount(cell, np.repeat(weight[some], each), n * len(parts)).reshape(n, -1)
+                met = np.bincount(cell, minlength=n * len(parts)).reshape(n, -1) > 0
+                hit = np.nonzero(met.astype(np.float32) @ asks)
+                totals = (sums @ asked)[hit]
+                ids_of = docs.dictionary.take(pa.array(hit[0] + first))
+                yield pa.record_batch([pa.array(asking[hit[1]]), ids_of, pa.array(totals)], names=["query_id", "doc_id", "total"])
+
+    dealt = weighted.select("doc_id", "term", "weight").where("weight is not null").repartition("doc_id").sortWithinPartitions("doc_id")
     return dealt.mapInArrow(add_up, "query_id long, doc_id long, total double")

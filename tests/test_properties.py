@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import lexmill as lx
@@ -188,3 +189,37 @@ def test_many_substring_terms_are_summed_by_document(spark, corpus, monkeypatch)
         rows, plan = hits(variant)
         assert "MapInArrow" not in plan and got == rows
         monkeypatch.undo()
+
+
+def test_substring_sums_have_one_row_for_a_document(spark, monkeypatch):
+    """Whatever the batches, a document's total is whole; postings without a weight are no hits."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        monkeypatch.setattr(substring, "TOGETHER", 2)
+        monkeypatch.setattr(substring, "CELLS", 5)
+        order = random.Random(5)
+        terms = ["".join(order.choices("abc", k=order.randrange(1, 7))) for _ in range(60)]
+        rows = [(d, t, order.random()) for d in (*range(30), None) for t in set(order.sample(terms, 9))]
+        weighted = spark.createDataFrame([*rows, (7, "zzz", None), (99, "abab", None)], "doc_id long, term string, weight double")
+        wanted = [Row(query_id=q, term=t, n=n) for q, t, n in ((4, "ab", 1), (4, "c", 2), (9, "abca", 1), (9, "zz", 1), (9, "b", 3))]
+        found = [tuple(r) for r in substring.substring_sums(weighted, wanted).collect()]
+        expected = {}
+        for d, t, w in rows:
+            for r in wanted:
+                if r.term in t:
+                    expected[r.query_id, d] = expected.get((r.query_id, d), 0.0) + w * r.n
+        assert len(found) == len(expected)
+        assert {(q, d): pytest.approx(total) for q, d, total in found} == expected
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_no_large_side_of_terms_is_broadcast(spark, monkeypatch):
+    """Terms that were measured to be too many are not broadcast for the size of their files."""
+    monkeypatch.setattr(query_ops, "small_rows", lambda df: None)
+    monkeypatch.setattr(query_ops, "BROADCAST_BYTES", 0)
+    table = spark.createDataFrame([("a", i, 3) for i in range(50)], "term string, doc_id long, shard int")
+    for shards in (4, None):
+        side = query_ops.TermSide(spark.createDataFrame([(1, "a")], "query_id long, term string"), shards)
+        joined = side.join(table.withColumn("shard", query_ops.shard_of(F.col("term"), 4)) if shards else table.drop("shard"))
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 50
