@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lexmill as lx
+from lexmill.plans import index as index_plan
 
 REPO = Path(__file__).parent.parent
 
@@ -171,3 +172,47 @@ def test_document_arrays_are_those_of_kept_words(spark, monkeypatch):
                 found = ops.document_arrays(source, ops.ARRAY_COLUMNS, stops, with_id)
                 assert sorted(map(str, found.select(columns).collect())) == expected
                 assert "array_remove" not in found._jdf.queryExecution().toString()  # no array of tokens is made per row
+
+
+def test_files_are_cut_by_first_characters(spark, tmp_path, monkeypatch):
+    """Counts of whole pairs are as many as the pairs; only those of common first characters are needed."""
+    counted, staged = {}, index_plan.stage
+
+    def spy(df, name):
+        table = staged(df, name)
+        counted.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(index_plan, "stage", spy)
+    order = random.Random(11)
+    rows = [(i, " ".join(["same same", *(f"{order.choice(['ab', 'héé', 'zz'])}{order.randrange(10**6)}" for _ in range(20))])) for i in range(150)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "index")
+    ix = lx.build_index(corpus, path, kinds=("biword",), shards=2, rows_per_file=60)
+    assert sorted(map(tuple, ix.biwords.select("biword", "doc_id").collect())) == sorted(map(tuple, lx.biword_postings(corpus, unique_ids=True).collect()))
+    assert max(counted["first-characters"]) < 500 < 2500 < ix.biword_terms.count()
+    sizes = {r.file: r["count"] for r in spark.read.parquet(f"{path}/biwords").groupBy(F.input_file_name().alias("file")).count().collect()}
+    assert max(sizes.values()) <= 120 and len(sizes) > 20
+    df = {r.biword: r.df for r in ix.biword_terms.collect()}
+    assert df == {r.biword: r.df for r in lx.document_frequency(ix.biwords, "biword").collect()} and df["same same"] == 150
+    assert {tuple(r) for r in lx.lookup_biwords(ix, ["same same"]).collect()} == {("same same", 150, i) for i in range(150)}
+
+
+def test_documents_of_lines_are_added_up_once(spark, corpus, tmp_path, monkeypatch):
+    """The length and both norms of the documents of posting lines come from one aggregate, without a join."""
+    plans, staged = {}, index_plan.stage
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    ix = lx.build_index(corpus, str(tmp_path / "index"), kinds=("positional",), shards=2)
+    lx.write_lines(lx.positional_lines(ix.postings, ix.terms), str(tmp_path / "lines"))
+    monkeypatch.setattr(index_plan, "stage", spy)
+    found = lx.Index.from_lines(spark, str(tmp_path / "lines")).doc_stats.collect()
+    assert plans["doc-stats"].count("Aggregate") == 1 and "Join" not in plans["doc-stats"]
+    expected = {r.doc_id: r for r in ix.doc_stats.collect()}
+    assert len(found) == len(expected)
+    for row in found:
+        for name in ("doc_len", "norm", "norm_reference"):
+            assert row[name] == pytest.approx(expected[row.doc_id][name])
