@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lexmill as lx
+from lexmill.sinks import posting_lines
 from lexmill.sources import archives
 from lexmill.sources.archives import DamagedArchive, archive_entries
 from lexmill.sources.news import parse_item
@@ -333,6 +334,27 @@ def test_hot_terms_take_several_lines(spark):
     assert {r.doc_id for r in back.collect()} == set(range(250))
 
 
+def test_lists_that_fit_memory_are_cut_without_ranks(spark, monkeypatch):
+    """Short lines do not make terms hot; the lines are those of ranked postings."""
+    postings = spark.range(400).select(
+        F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("term"), (F.col("id") * 7).alias("doc_id"), F.lit(1).alias("tf"),
+        F.lit(4).alias("doc_len"), F.array(F.lit(2)).alias("positions"),
+    )
+    terms = lx.document_frequency(postings)
+
+    def lines():
+        return sorted(tuple(r) for r in lx.positional_lines(postings, terms, per_line=50).collect())
+
+    def none(*args, **options):
+        raise AssertionError("ranked")
+
+    monkeypatch.setattr(posting_lines, "POSTINGS_IN_MEMORY", 60)
+    ranked = lines()
+    monkeypatch.undo()
+    monkeypatch.setattr(posting_lines, "ranked", none)
+    assert lines() == ranked and len(ranked) == 9
+
+
 def test_long_lines_are_split_once(spark):
     """What is read off a line is read ahead of its postings: a line of many postings costs no more for each."""
     text = "hot:3\t" + "".join(f"{i}:2:9<1, {i}>; " for i in range(20_000)) + "7; x; 8:1:4<>;  9:1:2<3>"
